@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortmill import fixed_values as fixed
-from cohortmill.functions.scalars import int_key, named, number, truth_flag
+from cohortmill.functions.scalars import int_key, is_text, named, number, truth_flag
 
 
 @dataclass(frozen=True)
@@ -44,10 +44,10 @@ def typed_events(
 ) -> DataFrame:
     """Tolerantly cast events; rows that fail a cast carry NULL and are still present."""
     return raw.select(
-        int_key(named(columns.key)).alias("app_id"),
+        int_key(named(columns.key), is_text(raw, columns.key)).alias("app_id"),
         named(columns.name).alias("app_name"),
         truth_flag(named(columns.flag), rules.true_word).alias("is_recommended"),
-        number(named(columns.measure)).alias("playtime_forever"),
+        number(named(columns.measure), is_text(raw, columns.measure)).alias("playtime_forever"),
     )
 
 
@@ -73,9 +73,9 @@ def clean_events(
 def clean_metadata(raw: DataFrame, columns: MetadataColumns = MetadataColumns()) -> DataFrame:
     """Typed metadata rows that have an integer key; keys may repeat."""
     return raw.select(
-        int_key(named(columns.key)).alias("meta_appid"),
+        int_key(named(columns.key), is_text(raw, columns.key)).alias("meta_appid"),
         named(columns.name).alias("meta_game_name"),
-        number(named(columns.price)).alias("meta_price"),
+        number(named(columns.price), is_text(raw, columns.price)).alias("meta_price"),
     ).where(F.col("meta_appid").isNotNull())
 
 

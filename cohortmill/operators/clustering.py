@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortmill import fixed_values as fixed
-from cohortmill.operators.evaluation import label_for_every_k, sweep_scores
+from cohortmill.operators.evaluation import cluster_sums, cost_from_sums, silhouette
 from cohortmill.operators.scaling import scaling_stages
 from cohortmill.sources.tables import SWEEP_SCHEMA
 from cohortmill.storage import held
@@ -59,30 +59,6 @@ def center_lists(model: KMeansModel) -> Centers:
     return [[float(x) for x in center] for center in model.clusterCenters()]
 
 
-def sweep_centers(
-    vectors: DataFrame,
-    ks: Sequence[int] = fixed.SWEEP_K,
-    seed: int = fixed.SEED,
-    max_iterations: int = fixed.MAX_ITERATIONS,
-    parallelism: int = 4,
-) -> dict[int, Centers]:
-    """Fit every K on the same vectors; several fits share the cluster at a time.
-
-    One fit is a chain of short jobs that leaves executors idle at each step's
-    end; concurrent fits fill those gaps.  ``vectors`` should be held in memory.
-    """
-
-    def fit(k: int) -> tuple[int, Centers]:
-        return k, center_lists(kmeans(k, seed, max_iterations).fit(vectors))
-
-    with ThreadPool(max(1, min(parallelism, len(ks)))) as pool:
-        # The largest K takes longest, so it starts first.
-        fitted = pool.map(
-            inheritable_thread_target(vectors.sparkSession)(fit), sorted(ks, reverse=True), 1
-        )
-    return dict(sorted(fitted))
-
-
 def k_sweep(
     scaled: DataFrame,
     scaled_columns: Sequence[str],
@@ -90,20 +66,41 @@ def k_sweep(
     ks: Sequence[int] = fixed.SWEEP_K,
     seed: int = fixed.SEED,
     max_iterations: int = fixed.MAX_ITERATIONS,
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> tuple[DataFrame, dict[int, Centers]]:
     """Cost and silhouette for every K, and the fitted centers.
 
-    ``scaled`` must be a materialised table: it is held in memory for the fits,
-    and a lost copy is read again from storage.  All K are scored together in two
-    passes instead of two per K.
+    ``scaled`` must be a materialised table: one laid-out copy is held in memory for
+    all fits, and what is lost of it is read again from storage.  ``parallelism`` fits run at a
+    time, all by default: one fit is a chain of short jobs that leaves executors
+    idle at each step's end, and concurrent fits fill those gaps.
+
+    The cost is measured on the final centers from plain sums.  The fit's own cost
+    comes from an accumulator, which counts a task twice if it runs twice.
     """
-    narrow = stable_layout(scaled.select(*keys, *scaled_columns), keys)
-    with held(as_vectors(narrow, scaled_columns)) as vectors:
-        centers = sweep_centers(vectors, ks, seed, max_iterations, parallelism)
-        labelled = label_for_every_k(vectors, scaled_columns, centers)
-        records = sweep_scores(labelled, len(scaled_columns))
-    return scaled.sparkSession.createDataFrame(records, SWEEP_SCHEMA), centers
+    spark = scaled.sparkSession
+    layout = stable_layout(scaled.select(*keys, *scaled_columns), keys)
+    with held(layout) as narrow:
+        # Not held itself, so each fit keeps its own rows as ready-made vectors and
+        # reads the compact copy only once instead of once per iteration.
+        vectors = as_vectors(narrow, scaled_columns)
+
+        def fit_and_score(k: int) -> tuple[int, Centers, float, float | None]:
+            model = kmeans(k, seed, max_iterations).fit(vectors)
+            centers = center_lists(model)
+            assigned = model.transform(vectors)
+            sums = cluster_sums(assigned, scaled_columns).collect()
+            score = silhouette(assigned, scaled_columns, sums).first()["silhouette"]
+            return k, centers, cost_from_sums(sums, centers), score
+
+        with ThreadPool(max(1, min(parallelism or len(ks), len(ks)))) as pool:
+            # The largest K takes longest, so it starts first.
+            fitted = pool.map(
+                inheritable_thread_target(spark)(fit_and_score), sorted(ks, reverse=True), 1
+            )
+    records = sorted((k, cost, score) for k, _, cost, score in fitted)
+    centers = {k: found for k, found, _, _ in fitted}
+    return spark.createDataFrame(records, SWEEP_SCHEMA), centers
 
 
 def best_k(sweep: DataFrame) -> DataFrame:

@@ -9,8 +9,16 @@ from cohortmill import fixed_values as fixed
 from cohortmill.operators.cleaning import CleaningRules, has_key, has_measure
 
 
-def entity_aggregate(clean: DataFrame) -> DataFrame:
-    """Counts, positive share and mean measure per entity.
+def audited_entity_aggregate(
+    typed: DataFrame, rules: CleaningRules = CleaningRules()
+) -> DataFrame:
+    """Per entity: counts, positive share, mean measure, and how many raw rows it had.
+
+    Takes ``typed_events``; the cleaning rules are conditions inside the aggregate,
+    so each cast runs once per row and one scan serves results and accounting.
+    Rows without a key form the entity whose key is NULL.  The counts are ordinary
+    aggregate columns, so a task that runs twice after a lost executor does not
+    count twice.
 
     Two steps: first per (key, name), where the name is a grouping column and the
     buffers are plain numbers, so event rows go through a hash aggregate that
@@ -18,28 +26,7 @@ def entity_aggregate(clean: DataFrame) -> DataFrame:
     an entity are left.  A hot key is thereby reduced before any shuffle, and a
     string buffer, which would sort all events, never meets event-level data.
     """
-    by_name = clean.groupBy("app_id", "app_name").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("is_recommended").alias("positive"),
-        F.sum("playtime_forever").alias("minutes"),
-    )
-    per_key = by_name.groupBy("app_id").agg(
-        F.min("app_name").alias("review_app_name"),
-        F.sum("n").alias("total_reviews"),
-        F.sum("positive").alias("positive_reviews"),
-        F.sum("minutes").alias("minutes"),
-    )
-    return _with_ratios(per_key)
-
-
-def audited_entity_aggregate(typed: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    """``entity_aggregate`` plus the raw and rejected row counts, from the same scan.
-
-    Takes ``typed_events`` without a filter; rows without a key form the entity
-    whose key is NULL.  The counts are ordinary aggregate columns, so a task that
-    runs twice after a lost executor does not count twice.
-    """
-    kept = has_measure(rules) & has_key()
+    kept = has_key() & has_measure(rules)
     by_name = typed.groupBy("app_id", "app_name").agg(
         F.count(F.lit(1)).alias("raw"),
         F.count_if(kept).alias("n"),
@@ -56,6 +43,19 @@ def audited_entity_aggregate(typed: DataFrame, rules: CleaningRules = CleaningRu
     return _with_ratios(per_key)
 
 
+def kept_entities(audited: DataFrame) -> DataFrame:
+    """Entities with a key and at least one valid event, without the accounting."""
+    return audited.where(has_key() & (F.col("total_reviews") > 0)).drop("raw_reviews")
+
+
+def entity_aggregate(events: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
+    """Counts, positive share and mean measure per entity, over valid events only.
+
+    Takes typed or cleaned events.
+    """
+    return kept_entities(audited_entity_aggregate(events, rules))
+
+
 def _with_ratios(per_key: DataFrame) -> DataFrame:
     total = F.col("total_reviews")
     filled = F.nullif(total, F.lit(0))

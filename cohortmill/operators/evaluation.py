@@ -1,23 +1,31 @@
-"""Assignment, cost and silhouette as relational work, for one or many K at once.
+"""Assignment, cost and silhouette.
 
-A labelled table has one row per (K, entity): ``K, cluster_id, d2, features``,
-where ``features`` is an array of doubles.
+An assigned table carries the scaled feature columns and ``cluster_id``.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cohortmill.functions.geometry import nearest_center
+from cohortmill.functions.geometry import dot, nearest_center, squared_norm
+
+# Above this many terms (clusters times features) one expression per cluster makes the
+# generated code too large to be compiled well, and a form of constant size takes over.
+MAX_UNROLLED_TERMS = 128
 
 
 def assign(scaled: DataFrame, scaled_columns: Sequence[str], centers) -> DataFrame:
     """Adds ``cluster_id`` and the squared distance ``d2`` to the nearest center."""
-    nearest = nearest_center([F.col(c) for c in scaled_columns], centers)
+    if len(centers) * len(scaled_columns) <= MAX_UNROLLED_TERMS:
+        nearest = nearest_center([F.col(c) for c in scaled_columns], centers)
+    else:
+        nearest = _nearest_in(F.array(*scaled_columns), centers)
     return (
         scaled.withColumn("nearest", nearest)
         .withColumns({"cluster_id": F.col("nearest.cluster_id"), "d2": F.col("nearest.d2")})
@@ -25,164 +33,97 @@ def assign(scaled: DataFrame, scaled_columns: Sequence[str], centers) -> DataFra
     )
 
 
-def labelled_table(assigned: DataFrame, scaled_columns: Sequence[str], k: int) -> DataFrame:
-    """The labelled form of one assignment."""
-    return assigned.select(
-        F.lit(k).alias("K"), "cluster_id", "d2", F.array(*scaled_columns).alias("features")
-    )
-
-
-def label_for_every_k(
-    scaled: DataFrame, scaled_columns: Sequence[str], centers_by_k: Mapping[int, Sequence]
-) -> DataFrame:
-    """The labelled form of every K from one read of ``scaled``.
-
-    All centers travel as one array literal (sum of all K rows), so the size of
-    the expression depends neither on K nor on the number of features.
-    """
-    models = F.array(
+def _nearest_in(features: Column, centers) -> Column:
+    """``nearest_center`` over arrays: the centers are data, not code."""
+    points = F.array(
         *[
-            F.struct(
-                F.lit(k).alias("k"),
-                F.array(
-                    *[
-                        F.struct(F.lit(i).alias("id"), F.lit([float(x) for x in c]).alias("at"))
-                        for i, c in enumerate(centers)
-                    ]
-                ).alias("centers"),
-            )
-            for k, centers in sorted(centers_by_k.items())
+            F.struct(F.lit(i).alias("cluster_id"), F.lit([float(x) for x in c]).alias("point"))
+            for i, c in enumerate(centers)
         ]
     )
 
-    def nearest(model: Column) -> Column:
-        def measured(center: Column) -> Column:
-            gaps = F.zip_with("features", center["at"], lambda x, c: (x - c) * (x - c))
-            return F.struct(_total(gaps).alias("d2"), center["id"].alias("id"))
+    def measured(center: Column) -> Column:
+        gaps = F.zip_with(features, center["point"], lambda x, c: (x - c) * (x - c))
+        d2 = F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
+        return F.struct(d2.alias("d2"), center["cluster_id"].alias("cluster_id"))
 
-        return F.struct(
-            model["k"].alias("k"),
-            F.array_min(F.transform(model["centers"], measured)).alias("best"),
-        )
+    return F.array_min(F.transform(points, measured))
 
-    return (
-        scaled.select(F.array(*scaled_columns).alias("features"))
-        .select("features", F.explode(F.transform(models, nearest)).alias("m"))
-        .select(
-            F.col("m.k").alias("K"),
-            F.col("m.best.id").alias("cluster_id"),
-            F.col("m.best.d2").alias("d2"),
-            "features",
-        )
-    )
 
+def wssse(assigned: DataFrame) -> DataFrame:
+    """One row: the within-set sum of squared errors."""
+    return assigned.agg(F.sum("d2").alias("wssse"))
 
-def cluster_sums(labelled: DataFrame, width: int) -> DataFrame:
-    """Per (K, cluster): row count, cost, sum of squared norms and the sum vector.
+
+def cluster_sums(assigned: DataFrame, scaled_columns: Sequence[str]) -> DataFrame:
+    """Per cluster: row count, sum of squared norms and the sum vector.
 
     Plain sums, combined on the map side: the shuffle carries one row per cluster
     and task, however uneven the clusters are.
     """
-    norm = _total(F.transform("features", lambda x: x * x))
-    sums = labelled.groupBy("K", "cluster_id").agg(
+    norm = squared_norm([F.col(c) for c in scaled_columns])
+    sums = assigned.groupBy("cluster_id").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum("d2").alias("cost"),
         F.sum(norm).alias("norms"),
-        *[F.sum(F.col("features")[i]).alias(f"s{i}") for i in range(width)],
-    )
-    return sums.select(
-        "K", "cluster_id", "n", "cost", "norms", F.array(*[f"s{i}" for i in range(width)]).alias("total")
+        *[F.sum(c).alias(f"s{i}") for i, c in enumerate(scaled_columns)],
     )
+    total = F.array(*[f"s{i}" for i in range(len(scaled_columns))])
+    return sums.select("cluster_id", "n", "norms", total.alias("total"))
 
 
-def wssse(labelled: DataFrame) -> DataFrame:
-    """(K, wssse): within-set sum of squared errors."""
-    return labelled.groupBy("K").agg(F.sum("d2").alias("wssse"))
+def cost_from_sums(sums: Sequence[Row], centers) -> float:
+    """The cost from the rows of ``cluster_sums``: sum of |x|^2 - 2 x.c + |c|^2."""
+    cost = 0.0
+    for row in sums:
+        center = centers[row["cluster_id"]]
+        cross = sum(s * c for s, c in zip(row["total"], center, strict=True))
+        cost += row["norms"] - 2.0 * cross + row["n"] * sum(c * c for c in center)
+    return cost
 
 
-def silhouettes(labelled: DataFrame, sums: Sequence[Row]) -> DataFrame:
-    """(K, silhouette): mean squared-Euclidean silhouette over all rows.
+def silhouette(
+    assigned: DataFrame, scaled_columns: Sequence[str], sums: Sequence[Row] | None = None
+) -> DataFrame:
+    """One row: the mean squared-Euclidean silhouette.
 
-    The total squared distance from x to a cluster of n rows with sum vector S and
-    summed squared norms Y is n|x|^2 + Y - 2 x.S, so each row needs the K sums and
-    no other row.  ``sums`` are the collected rows of ``cluster_sums``, K of them
-    per model.  Rows of single-member clusters count 0; a K with one non-empty
-    cluster gives NULL.
+    The mean squared distance from x to a cluster of n rows with mean m and mean
+    squared norm y is |x|^2 - 2 x.m + y, so a row needs K sums and no other row:
+    two passes, no pairs.  ``sums`` are the collected rows of ``cluster_sums``, K
+    of them.  A row alone in its cluster counts 0; with a single non-empty cluster
+    the value is NULL.
     """
-    by_k: dict[int, list[Row]] = defaultdict(list)
+    if sums is None:
+        sums = cluster_sums(assigned, scaled_columns).collect()
+    if len(sums) < 2:
+        return assigned.agg(F.lit(None).cast("double").alias("silhouette"))
+    if len(sums) * len(scaled_columns) > MAX_UNROLLED_TERMS:
+        return _ml_silhouette(assigned, scaled_columns)
+
+    features = [F.col(c) for c in scaled_columns]
+    reach = {}
+    own = F.lit(None).cast("double")
+    others = []
     for row in sums:
-        by_k[row["K"]].append(row)
-    lookup = F.create_map(
-        *[
-            part
-            for k, rows in sorted(by_k.items())
-            for part in (
-                F.lit(k),
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(r["cluster_id"]).alias("id"),
-                            F.lit(float(r["n"])).alias("n"),
-                            F.lit(float(r["norms"])).alias("norms"),
-                            F.lit([float(x) for x in r["total"]]).alias("total"),
-                        )
-                        for r in rows
-                    ]
-                ),
-            )
-        ]
-    )
-
-    def to_cluster(cluster: Column) -> Column:
-        cross = _total(F.zip_with("features", cluster["total"], lambda x, s: x * s))
-        spread = cluster["n"] * F.col("norm") + cluster["norms"] - cross * 2.0
-        return F.struct(
-            cluster["id"].alias("id"),
-            cluster["n"].alias("n"),
-            F.greatest(spread, F.lit(0.0)).alias("spread"),
-        )
-
-    reached = labelled.withColumn(
-        "norm", _total(F.transform("features", lambda x: x * x))
-    ).select("K", "cluster_id", F.transform(lookup[F.col("K")], to_cluster).alias("reach"))
-    own = F.filter("reach", lambda c: c["id"] == F.col("cluster_id"))[0]
-    other = F.array_min(
-        F.transform(
-            F.filter("reach", lambda c: c["id"] != F.col("cluster_id")),
-            lambda c: c["spread"] / c["n"],
-        )
-    )
-    sides = reached.select("K", own.alias("own"), other.alias("b")).select(
-        "K",
-        F.col("own.n").alias("n"),
-        F.when(F.col("own.n") > 1, F.col("own.spread") / (F.col("own.n") - 1)).alias("a"),
-        "b",
-    )
+        n, column = float(row["n"]), f"reach_{row['cluster_id']}"
+        mean = [s / n for s in row["total"]]
+        distance = squared_norm(features) - dot(features, [2.0 * m for m in mean]) + row["norms"] / n
+        reach[column] = F.greatest(distance, F.lit(0.0))
+        mine = F.col("cluster_id") == row["cluster_id"]
+        # The row itself is at distance 0 and does not count among its neighbours.
+        inside = F.col(column) * (n / (n - 1.0)) if n > 1 else F.lit(None).cast("double")
+        own = F.when(mine, inside).otherwise(own)
+        others.append(F.when(~mine, F.col(column)))
+    sides = assigned.withColumns(reach).select(own.alias("a"), F.least(*others).alias("b"))
     a, b = F.col("a"), F.col("b")
-    score = (
-        F.when(b.isNull(), F.lit(None).cast("double"))
-        .when(F.col("n") == 1, F.lit(0.0))
-        .when(a < b, 1 - a / F.nullif(b, F.lit(0.0)))
-        .when(a > b, b / F.nullif(a, F.lit(0.0)) - 1)
-        .otherwise(F.lit(0.0))
-    )
-    return sides.groupBy("K").agg(F.avg(score).alias("silhouette"))
-
-
-def silhouette(labelled: DataFrame, width: int) -> DataFrame:
-    """``silhouettes`` with the cluster sums computed here (reads ``labelled`` twice)."""
-    return silhouettes(labelled, cluster_sums(labelled, width).collect())
-
-
-def sweep_scores(labelled: DataFrame, width: int) -> list[tuple[int, float, float | None]]:
-    """(K, cost, silhouette) of every K in two passes; a few rows per K reach the driver."""
-    sums = cluster_sums(labelled, width).collect()
-    cost: dict[int, float] = defaultdict(float)
-    for row in sums:
-        cost[row["K"]] += row["cost"]
-    score = {r["K"]: r["silhouette"] for r in silhouettes(labelled, sums).collect()}
-    return [(k, cost[k], score[k]) for k in sorted(cost)]
-
-
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda total, x: total + x)
+    score = F.when(a < b, 1.0 - a / b).when(a > b, b / a - 1.0).otherwise(F.lit(0.0))
+    return sides.agg(F.avg(score).alias("silhouette"))
+
+
+def _ml_silhouette(assigned: DataFrame, scaled_columns: Sequence[str]) -> DataFrame:
+    """The same value for wide features, from Spark ML's evaluator over vectors."""
+    vectors = VectorAssembler(inputCols=list(scaled_columns), outputCol="features_vector")
+    value = ClusteringEvaluator(
+        featuresCol="features_vector", predictionCol="cluster_id"
+    ).evaluate(vectors.transform(assigned.select("cluster_id", *scaled_columns)))
+    schema = T.StructType([T.StructField("silhouette", T.DoubleType())])
+    return assigned.sparkSession.createDataFrame([(float(value),)], schema)

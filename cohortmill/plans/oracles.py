@@ -171,7 +171,7 @@ MEANS = "means AS (\n  " + " UNION ALL ".join(
 SIZES = "sizes AS (SELECT cluster_id, COUNT(*) AS game_count FROM scored GROUP BY cluster_id)"
 
 
-def pairwise_silhouette(k: int, columns, key: str, columns_as_list: bool = False) -> str:
+def pairwise_silhouette(columns, key: str, columns_as_list: bool = False) -> str:
     """The definition itself: mean distances over all pairs of rows."""
     if columns_as_list:
         distance = "list_sum(list_transform(list_zip(x.z, y.z), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
@@ -187,13 +187,12 @@ sides AS (
          MIN(CASE WHEN own <> other THEN total / n END) AS b
   FROM pairs GROUP BY id),
 silhouettes AS (
-  SELECT CAST({k} AS INTEGER) AS K,
-         AVG(CASE WHEN n = 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1
-                  ELSE 0 END) AS silhouette
+  SELECT AVG(CASE WHEN n = 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1
+         ELSE 0 END) AS silhouette
   FROM sides)"""
 
 
-SILHOUETTE = pairwise_silhouette(4, SCALED_COLUMNS, "app_id")
+SILHOUETTE = pairwise_silhouette(SCALED_COLUMNS, "app_id")
 
 # --- sources --------------------------------------------------------------------
 
@@ -339,11 +338,11 @@ ORACLES["assign_fixed"] = (
 )
 ORACLES["wssse_fixed"] = (
     stack(*TO_SCORED)
-    + f"SELECT CAST(4 AS INTEGER) AS K, {half_up('SUM(d2)', 6)} AS wssse FROM scored"
+    + f"SELECT {half_up('SUM(d2)', 6)} AS wssse FROM scored"
 )
 ORACLES["silhouette_fixed"] = (
     stack(*TO_SCORED, SILHOUETTE)
-    + f"SELECT K, {half_up('silhouette', 6)} AS silhouette FROM silhouettes"
+    + f"SELECT {half_up('silhouette', 6)} AS silhouette FROM silhouettes"
 )
 ORACLES["kmeans_checks"] = stack(*TO_FEATURES) + """
 SELECT COUNT(*) AS assigned_rows, CAST(3 AS INTEGER) AS highest_cluster,
@@ -604,7 +603,7 @@ ORACLES["vector_segments"] = stack(SLOTS, SLOT_PARAMS, VECTOR_SCORED) + f"""
 SELECT vec_id, CAST(cluster_id AS INTEGER) AS cluster_id, {half_up("d2", 6)} AS d2 FROM scored"""
 ORACLES["vector_silhouette"] = (
     stack(
-        SLOTS, SLOT_PARAMS, VECTOR_SCORED, pairwise_silhouette(3, (), "vec_id", columns_as_list=True)
+        SLOTS, SLOT_PARAMS, VECTOR_SCORED, pairwise_silhouette((), "vec_id", columns_as_list=True)
     )
-    + f"SELECT K, {half_up('silhouette', 6)} AS silhouette FROM silhouettes"
+    + f"SELECT {half_up('silhouette', 6)} AS silhouette FROM silhouettes"
 )

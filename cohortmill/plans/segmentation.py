@@ -33,7 +33,7 @@ class Settings:
     k: int | None = None  # None: the K with the best silhouette
     seed: int = fixed.SEED
     max_iterations: int = fixed.MAX_ITERATIONS
-    parallelism: int = 4
+    parallelism: int | None = None  # fits that run at a time; None: all
     statistics_accuracy: int = profile.STATISTICS_ACCURACY
     representatives: int = 5
     sample_rows: int = fixed.PLOT_SAMPLE_ROWS
@@ -60,8 +60,8 @@ def entity_feature_table(
     events: DataFrame, meta: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
     """Raw events and metadata to the feature table: one event scan, one event shuffle."""
-    clean = cleaning.clean_events(events, settings.events, settings.rules)
-    per_entity = entities.entity_features(entities.entity_aggregate(clean))
+    typed = cleaning.typed_events(events, settings.events, settings.rules)
+    per_entity = entities.entity_features(entities.entity_aggregate(typed, settings.rules))
     typed_meta = cleaning.clean_metadata(meta, settings.metadata)
     joined = metadata.attach_metadata(per_entity, typed_meta, settings.duplicates)
     return features.feature_table(joined, settings.min_popularity)
@@ -79,9 +79,7 @@ def segment(events: DataFrame, meta: DataFrame, settings: Settings = Settings())
     audited = materialize(
         entities.audited_entity_aggregate(typed, settings.rules), "entity-aggregate"
     )
-    per_entity = entities.entity_features(
-        audited.where(cleaning.has_key() & (F.col("total_reviews") > 0))
-    )
+    per_entity = entities.entity_features(entities.kept_entities(audited))
     joined = metadata.attach_metadata(
         per_entity, cleaning.clean_metadata(meta, settings.metadata), settings.duplicates
     )

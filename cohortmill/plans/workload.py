@@ -26,7 +26,7 @@ from cohortmill.operators.clustering import (
     kmeans,
     stable_layout,
 )
-from cohortmill.operators.evaluation import assign, labelled_table, silhouette, wssse
+from cohortmill.operators.evaluation import assign, silhouette, wssse
 from cohortmill.operators.features import (
     FEATURE_TABLE_COLUMNS,
     feature_names,
@@ -56,7 +56,7 @@ from cohortmill.sources.tables import (
     read_result_csv,
     read_table,
 )
-from cohortmill.storage import held, materialize, scratch_path
+from cohortmill.storage import materialize, scratch_path
 from cohortmill.streaming.scoring import read_feature_stream, score_rows, write_scored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,10 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 # --- shared steps ---------------------------------------------------------------
 
 
+def typed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return cleaning.typed_events(bindings.line_events(spark, folder), LINES.events, LINES.rules)
+
+
 def clean_lines(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.clean_events(bindings.line_events(spark, folder), LINES.events, LINES.rules)
 
@@ -190,14 +194,12 @@ def schema_listing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def clean_key(spark: SparkSession, folder: str) -> DataFrame:
-    typed = cleaning.typed_events(bindings.line_events(spark, folder), LINES.events, LINES.rules)
-    return typed.where(cleaning.has_key()).select("app_id", "app_name")
+    return typed_lines(spark, folder).where(cleaning.has_key()).select("app_id", "app_name")
 
 
 @query
 def clean_flag(spark: SparkSession, folder: str) -> DataFrame:
-    typed = cleaning.typed_events(bindings.line_events(spark, folder), LINES.events, LINES.rules)
-    return typed.select("app_id", "app_name", "is_recommended")
+    return typed_lines(spark, folder).select("app_id", "app_name", "is_recommended")
 
 
 @query
@@ -219,7 +221,7 @@ def rejects_by_rule(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def audit_totals(spark: SparkSession, folder: str) -> DataFrame:
-    typed = cleaning.typed_events(bindings.line_events(spark, folder), LINES.events, LINES.rules)
+    typed = typed_lines(spark, folder)
     return entities.audit_totals(entities.audited_entity_aggregate(typed, LINES.rules))
 
 
@@ -228,12 +230,12 @@ def audit_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def entity_agg(spark: SparkSession, folder: str) -> DataFrame:
-    return entities.entity_aggregate(clean_lines(spark, folder))
+    return entities.entity_aggregate(typed_lines(spark, folder), LINES.rules)
 
 
 @query
 def entity_agg_audited(spark: SparkSession, folder: str) -> DataFrame:
-    typed = cleaning.typed_events(bindings.line_events(spark, folder), LINES.events, LINES.rules)
+    typed = typed_lines(spark, folder)
     return entities.audited_entity_aggregate(typed, LINES.rules)
 
 
@@ -316,27 +318,21 @@ def assign_fixed(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(scored, "d2")
 
 
-def labelled_lines(spark: SparkSession, folder: str) -> DataFrame:
-    k = len(bindings.LINE_CENTERS)
-    return labelled_table(scored_lines(spark, folder), SCALED, k)
-
-
 @query
 def wssse_fixed(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(wssse(labelled_lines(spark, folder)), "wssse")
+    return rounded(wssse(scored_lines(spark, folder)), "wssse")
 
 
 @query
 def silhouette_fixed(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(silhouette(labelled_lines(spark, folder), len(SCALED)), "silhouette")
+    return rounded(silhouette(scored_lines(spark, folder), SCALED), "silhouette")
 
 
 def fitted_lines(spark: SparkSession, folder: str, k: int = 4) -> tuple[DataFrame, list]:
     """Materialised scaled rows and the centers of a fit on their stable layout."""
     scaled = materialize(scaled_lines(spark, folder), "scaled")
     layout = stable_layout(scaled.select(*KEYS, *SCALED), KEYS)
-    with held(as_vectors(layout, SCALED)) as vectors:
-        centers = center_lists(kmeans(k).fit(vectors))
+    centers = center_lists(kmeans(k).fit(as_vectors(layout, SCALED)))
     return scaled, centers
 
 
@@ -498,14 +494,12 @@ def export_clustered(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def one_row_summary(spark: SparkSession, folder: str, clustered: DataFrame, scored: DataFrame) -> DataFrame:
-    k = len(bindings.LINE_CENTERS)
-    labelled = labelled_table(scored, SCALED, k)
     return summary.metrics_summary(
         raw_count(spark, folder),
         profile.cluster_sizes(clustered),
-        k,
-        wssse(labelled).select("wssse").scalar(),
-        silhouette(labelled, len(SCALED)).select("silhouette").scalar(),
+        len(bindings.LINE_CENTERS),
+        wssse(scored).scalar(),
+        silhouette(scored, SCALED).scalar(),
     )
 
 
@@ -636,8 +630,7 @@ def vector_segments(spark: SparkSession, folder: str) -> DataFrame:
 def vector_silhouette(spark: SparkSession, folder: str) -> DataFrame:
     columns = scaled_names(bindings.vector_columns())
     assigned = assign(scaled_vectors(spark, folder), columns, bindings.vector_centers())
-    labelled = labelled_table(assigned, columns, 3)
-    return rounded(silhouette(labelled, len(columns)), "silhouette")
+    return rounded(silhouette(assigned, columns), "silhouette")
 
 
 @query
