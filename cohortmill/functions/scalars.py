@@ -75,6 +75,15 @@ def log_scale(column: Column, floor: float | None = None) -> Column:
     return F.log1p(column if floor is None else F.greatest(column, F.lit(floor)))
 
 
+def rounded_mean(mean: Column, digits: int = 2) -> Column:
+    """A mean rounded the same way on every run.
+
+    The last bits of a sum of doubles depend on the order in which tasks finish; at
+    a tie such as 23.195 they would decide the result.  Nine digits settle them.
+    """
+    return F.round(F.round(mean, 9), digits)
+
+
 def contains_any(column: Column, words: Iterable[str]) -> Column:
     """True where the text contains any of the words, ignoring case."""
     text = F.lower(column)

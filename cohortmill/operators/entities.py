@@ -88,7 +88,8 @@ def entity_medians(clean: DataFrame, accuracy: int = fixed.ENTITY_MEDIAN_ACCURAC
 
 
 def hours(minutes: Column) -> Column:
-    return F.round(minutes / fixed.MINUTES_PER_HOUR, 2)
+    """Mean minutes to hours; the inner rounding settles bits that depend on row order."""
+    return F.round(F.round(minutes, 9) / fixed.MINUTES_PER_HOUR, 2)
 
 
 def entity_features(aggregate: DataFrame) -> DataFrame:

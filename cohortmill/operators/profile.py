@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortmill import fixed_values as fixed
+from cohortmill.functions.scalars import rounded_mean
 
 # Profiled column -> name used in the statistics table.
 PROFILED = {
@@ -47,7 +48,7 @@ def cluster_statistics(
     """
     measures = []
     for source, name in profiled.items():
-        measures.append(F.round(F.avg(source), 2).alias(f"avg_{name}"))
+        measures.append(rounded_mean(F.avg(source)).alias(f"avg_{name}"))
         measures.append(
             F.round(F.percentile_approx(source, 0.5, accuracy), 2).alias(f"median_{name}")
         )

@@ -74,7 +74,7 @@ ENTITY_AGG = """entity_agg AS (
   FROM clean_events GROUP BY app_id)"""
 
 ENTITY_FEATURES = f"""entity_features AS (
-  SELECT *, {half_up("avg_playtime_minutes / 60.0", 2)} AS playtime_hours,
+  SELECT *, {half_up(half_up("avg_playtime_minutes", 9) + " / 60.0", 2)} AS playtime_hours,
          total_reviews AS popularity
   FROM entity_agg)"""
 
@@ -151,7 +151,7 @@ PROFILED = (
 STATISTICS = (
     "stats AS (\n  SELECT cluster_id, COUNT(*) AS count, "
     + ", ".join(
-        f"{half_up(f'AVG({source})', 2)} AS avg_{name}, "
+        f"{half_up(half_up(f'AVG({source})', 9), 2)} AS avg_{name}, "
         + (
             f"quantile_disc({source}, 0.5) AS median_{name}"
             if source == "popularity"

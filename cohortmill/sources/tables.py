@@ -51,6 +51,8 @@ STATISTICS_SCHEMA = T.StructType(
 def read_csv_by_header(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """CSV with a header, every column a string, doubled quotes inside quoted fields.
 
+    Blank fields, quoted or not, are NULL.
+
     ``multiline=False`` splits large files over tasks but ends a record at every
     line break; ``multiline=True`` keeps quoted line breaks and reads one task per
     file.  For large text, write many files or land the table as Parquet once.
