@@ -61,13 +61,31 @@ def has_measure(rules: CleaningRules = CleaningRules()) -> Column:
     return F.coalesce(in_range, F.lit(False))
 
 
+def _cast_once(typed: DataFrame) -> DataFrame:
+    """The same rows, with every cast evaluated a single time.
+
+    A filter on a projected column is pushed below the projection, where the cast
+    runs again for every mention of the column.  Filters stay above a generator.
+    """
+    return typed.select(F.inline(F.array(F.struct(*typed.columns))))
+
+
+def keyed_events(
+    raw: DataFrame,
+    columns: EventColumns = EventColumns(),
+    rules: CleaningRules = CleaningRules(),
+) -> DataFrame:
+    """Only events with an integer key."""
+    return _cast_once(typed_events(raw, columns, rules)).where(has_key())
+
+
 def clean_events(
     raw: DataFrame,
     columns: EventColumns = EventColumns(),
     rules: CleaningRules = CleaningRules(),
 ) -> DataFrame:
     """Only events with an integer key and a measure inside the inclusive range."""
-    return typed_events(raw, columns, rules).where(has_key() & has_measure(rules))
+    return _cast_once(typed_events(raw, columns, rules)).where(has_key() & has_measure(rules))
 
 
 def clean_metadata(raw: DataFrame, columns: MetadataColumns = MetadataColumns()) -> DataFrame:

@@ -23,7 +23,7 @@ Centers = list[list[float]]
 
 # Sizes the fit's partitions: large enough that a task outweighs its overhead,
 # small enough that a task's rows and its cached copy stay far below executor memory.
-ROWS_PER_PARTITION = 250_000
+ROWS_PER_PARTITION = 100_000
 
 
 def stable_layout(

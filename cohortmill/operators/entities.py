@@ -44,8 +44,12 @@ def audited_entity_aggregate(
 
 
 def kept_entities(audited: DataFrame) -> DataFrame:
-    """Entities with a key and at least one valid event, without the accounting."""
-    return audited.where(has_key() & (F.col("total_reviews") > 0)).drop("raw_reviews")
+    """Entities with at least one valid event, without the accounting.
+
+    Valid events have a key.  Testing the key here as well would only push that
+    test, and with it a second evaluation of the cast, down to the event rows.
+    """
+    return audited.where(F.col("total_reviews") > 0).drop("raw_reviews")
 
 
 def entity_aggregate(events: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
@@ -80,11 +84,20 @@ def audit_totals(audited: DataFrame) -> DataFrame:
     )
 
 
-def entity_medians(clean: DataFrame, accuracy: int = fixed.ENTITY_MEDIAN_ACCURACY) -> DataFrame:
-    """Approximate lower median of the measure per entity, a mergeable bounded sketch."""
-    return clean.groupBy("app_id").agg(
-        F.percentile_approx("playtime_forever", 0.5, accuracy).alias("median_playtime_minutes")
+def entity_medians(
+    events: DataFrame,
+    accuracy: int = fixed.ENTITY_MEDIAN_ACCURACY,
+    rules: CleaningRules = CleaningRules(),
+) -> DataFrame:
+    """Approximate lower median of the measure per entity, a mergeable bounded sketch.
+
+    Takes typed or cleaned events.
+    """
+    valid = F.when(has_key() & has_measure(rules), F.col("playtime_forever"))
+    medians = events.groupBy("app_id").agg(
+        F.percentile_approx(valid, 0.5, accuracy).alias("median_playtime_minutes")
     )
+    return medians.where(F.col("median_playtime_minutes").isNotNull())
 
 
 def hours(minutes: Column) -> Column:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ from cohortmill.operators.scaling import fit_standardizer, standardize
 from cohortmill.operators.scoring import SegmentModel, clustered_table, make_model
 from cohortmill.storage import materialize
 
+EXPORT_THREADS = 8
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -53,7 +57,6 @@ class Segmentation:
     sizes: DataFrame
     statistics: DataFrame
     labels: DataFrame
-    extras: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def entity_feature_table(
@@ -167,11 +170,6 @@ def export(
         "plot_sample": plot_sample(result.clustered, settings.sample_rows, settings.seed),
         "scatter_rows": scatter_rows(labelled, words=settings.notable_words),
     }
-    for name, table in small.items():
-        sinks.write_csv(table, f"{folder}/{name}", single_file=True)
-    for name, table in large.items():
-        sinks.write_csv(table, f"{folder}/{name}")
-
     one_row = summary.metrics_summary(
         result.totals,
         result.sizes,
@@ -179,10 +177,7 @@ def export(
         chosen.select("WSSSE_Cost").scalar(),
         chosen.select("Silhouette_Score").scalar(),
     )
-    sinks.write_lines(
-        summary.report_lines(one_row, result.sizes, result.statistics, title),
-        f"{folder}/metrics_summary",
-    )
+    report = summary.report_lines(one_row, result.sizes, result.statistics, title)
     dashboard = {
         "games": (result.clustered, False),
         "statistics": (result.statistics, True),
@@ -190,7 +185,15 @@ def export(
         "cluster_meta": (cluster_meta(result, settings), True),
         "model_summary": (one_row, True),
     }
-    for name, (table, single) in dashboard.items():
-        sinks.write_json_lines(table, f"{folder}/dashboard/{name}", single)
-    result.model.save(spark, f"{folder}/model")
+    writes = [partial(sinks.write_csv, t, f"{folder}/{name}") for name, t in large.items()]
+    writes += [partial(sinks.write_csv, t, f"{folder}/{name}", True) for name, t in small.items()]
+    writes += [
+        partial(sinks.write_json_lines, t, f"{folder}/dashboard/{name}", single)
+        for name, (t, single) in dashboard.items()
+    ]
+    writes.append(partial(sinks.write_lines, report, f"{folder}/metrics_summary"))
+    writes.append(partial(result.model.save, spark, f"{folder}/model"))
+    # Most of these jobs have one short task; side by side they fill the cluster.
+    with ThreadPool(EXPORT_THREADS) as pool:
+        pool.map(inheritable_thread_target(spark)(lambda write: write()), writes, 1)
     return sinks.manifest(spark, {n: f"{folder}/{n}" for n in (*small, *large)})

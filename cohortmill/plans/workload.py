@@ -194,7 +194,8 @@ def schema_listing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def clean_key(spark: SparkSession, folder: str) -> DataFrame:
-    return typed_lines(spark, folder).where(cleaning.has_key()).select("app_id", "app_name")
+    raw = bindings.line_events(spark, folder)
+    return cleaning.keyed_events(raw, LINES.events, LINES.rules).select("app_id", "app_name")
 
 
 @query
@@ -241,7 +242,7 @@ def entity_agg_audited(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def entity_median(spark: SparkSession, folder: str) -> DataFrame:
-    return entities.entity_medians(clean_lines(spark, folder))
+    return entities.entity_medians(typed_lines(spark, folder), rules=LINES.rules)
 
 
 @query
