@@ -45,13 +45,24 @@ def scaler_params(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return moments.select(F.inline(F.array(*moments.columns)))
 
 
+# Beyond this many columns one aggregate over a vector compiles far faster than two
+# aggregate functions per column.
+MAX_AGGREGATED_COLUMNS = 32
+
+
 def fit_standardizer(df: DataFrame, columns: Sequence[str]) -> Standardizer:
     """Brings one number pair per column to the driver, as any scaler fit does."""
-    fitted = {r["feature"]: r for r in scaler_params(df, columns).collect()}
+    if len(columns) > MAX_AGGREGATED_COLUMNS:
+        assembler, scaler = scaling_stages(columns)
+        fitted = scaler.fit(assembler.transform(df))
+        return Standardizer(
+            tuple(columns), tuple(map(float, fitted.mean)), tuple(map(float, fitted.std))
+        )
+    found = {r["feature"]: r for r in scaler_params(df, columns).collect()}
     return Standardizer(
         tuple(columns),
-        tuple(fitted[c]["mean"] or 0.0 for c in columns),
-        tuple(fitted[c]["deviation"] for c in columns),
+        tuple(found[c]["mean"] or 0.0 for c in columns),
+        tuple(found[c]["deviation"] for c in columns),
     )
 
 

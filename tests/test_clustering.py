@@ -192,3 +192,12 @@ def test_numbers_of_an_ml_model_score_the_same(spark):
     ours = from_ml_stages(fitted).score(table).select("app_id", "cluster_id")
     theirs = fitted.transform(inputs).select("app_id", F.col("cluster_id").alias("p"))
     assert ours.join(theirs, "app_id").where("p <> cluster_id").count() == 0
+
+
+def test_wide_scaler_fit_agrees(spark, monkeypatch):
+    table = points(spark)
+    narrow = fit_standardizer(table, COLUMNS)
+    monkeypatch.setattr("cohortmill.operators.scaling.MAX_AGGREGATED_COLUMNS", 1)
+    wide = fit_standardizer(table, COLUMNS)
+    assert wide.means == pytest.approx(narrow.means, abs=1e-9)
+    assert wide.deviations == pytest.approx(narrow.deviations, abs=1e-9)
