@@ -17,7 +17,6 @@ from cohortmill.operators.charts import (
     share_slices,
 )
 from cohortmill.operators.clustering import (
-    ROWS_PER_PARTITION,
     as_vectors,
     best_k,
     center_lists,
@@ -27,12 +26,8 @@ from cohortmill.operators.clustering import (
     stable_layout,
 )
 from cohortmill.operators.evaluation import assign, silhouette, wssse
-from cohortmill.operators.features import (
-    FEATURE_TABLE_COLUMNS,
-    feature_names,
-    with_features,
-)
-from cohortmill.operators.quality import column_profile, cross_checks, quality_checks
+from cohortmill.operators.features import feature_names, with_features
+from cohortmill.operators.quality import column_profile, quality_checks
 from cohortmill.operators.sampling import plot_sample, preview
 from cohortmill.operators.scaling import (
     fit_standardizer,
@@ -41,11 +36,10 @@ from cohortmill.operators.scaling import (
     scaler_params,
     standardize,
 )
-from cohortmill.operators.scoring import SegmentModel, clustered_table, from_ml_stages, make_model
+from cohortmill.operators.scoring import SegmentModel, clustered_table, make_model
 from cohortmill.plans import bindings
 from cohortmill.plans.segmentation import (
     Settings,
-    cluster_meta,
     entity_feature_table,
     export,
     segment,
