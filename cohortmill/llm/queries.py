@@ -5,9 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cohortmill.llm.chat import digests, format_windows
 from cohortmill.llm.decontaminate import find_contamination
 from cohortmill.llm.neardup import near_duplicates
+from cohortmill.llm.quality import judge
+from cohortmill.llm.secrets import find_secrets
+from cohortmill.llm.sharding import byte_shards
 from cohortmill.llm.suffixdedup import remove_repeats
 
 
@@ -20,6 +25,18 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
 
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Law ``bytes``: shard sizes near equal."""
+    return byte_shards(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -29,11 +46,30 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+#: The conversation that a formatter must survive: control strings as texts.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.sql("SELECT -1L AS conv_id, id AS turn, IF(id = 0, 'user', 'assistant') AS role FROM range(2)")
+    extra = extra.withColumn("text", F.lit(CONTROL_TEXT))
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return digests(format_windows(given.unionByName(extra)))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents")).drop("failed_rule")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash_near_dedup,
+        op2_secret_scans,
+        op4_sharding,
         op5_suffix_array_dedup,
         op7_benchmark_decontamination,
+        op8_chat_formatting,
+        op10_quality_rules,
     )
 }
