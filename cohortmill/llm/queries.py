@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from cohortmill.llm.chat import digests, format_windows
 from cohortmill.llm.decontaminate import find_contamination
+from cohortmill.llm.licenses import find_licenses
 from cohortmill.llm.neardup import near_duplicates
+from cohortmill.llm.packing import pack
 from cohortmill.llm.quality import judge
 from cohortmill.llm.secrets import find_secrets
 from cohortmill.llm.sharding import byte_shards
 from cohortmill.llm.suffixdedup import remove_repeats
+from cohortmill.llm.toxicity import fit, score
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +32,10 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Law ``bytes``: shard sizes near equal."""
     return byte_shards(table(spark, sf_dir, "documents")).select(
@@ -41,6 +48,10 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -57,6 +68,11 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_windows(given.unionByName(extra)))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).drop("failed_rule")
 
@@ -66,10 +82,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_minhash_near_dedup,
         op2_secret_scans,
+        op3_best_fit_packing,
         op4_sharding,
         op5_suffix_array_dedup,
+        op6_license_scans,
         op7_benchmark_decontamination,
         op8_chat_formatting,
+        op9_toxicity,
         op10_quality_rules,
     )
 }
