@@ -4,9 +4,13 @@ One hash per shingle: its high part names a bin, its smallest value in the bin i
 signature.  An empty bin borrows from the bin that a universal hash of (bin, attempt)
 names, attempt after attempt, the same for every document.  Bands of the signature are
 buckets.  Candidates of a bucket are a star around its best connected document, so a
-bucket of n gives n - 1 pairs.  Links are confirmed on full shingle sets.  Where a star
-leaves a bucket in several components, the pairs across them are confirmed as well, so a
-link between two leaves is not lost.
+bucket of n gives n - 1 pairs.  Links are confirmed on full shingle sets.
+
+A link between two leaves of a star is not lost.  Let D(x) be the shingles in which leaf x
+differs from the center.  If leaf b is not linked with the center but with leaf a, sizes
+bound how many shingles D(a) and D(b) share from below, so the first few of each, in one
+order, meet (prefix filter).  Leaves of different components that meet so are confirmed
+too.  Most differences are a leaf's own, so few leaves meet, however many a star has.
 
 Defined results: words are split at ASCII white space after lower-casing A-Z.  A text with
 fewer words than a shingle is one shingle; null or word-less texts have an empty set and are
@@ -119,79 +123,154 @@ def signatures(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     )
 
 
+def _similar(common: int, total: int, percent: int) -> bool:
+    """``total``: the two set sizes added."""
+    return common > 0 and 100 * common >= percent * (total - common)
+
+
 def _confirmed(words: int, percent: int):
     def results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tb.pieces(batches, "text_a"):
-            a, a_at = shingle_sets(batch.column("text_a"), words)
-            b, b_at = shingle_sets(batch.column("text_b"), words)
-            linked = np.zeros(batch.num_rows, dtype=bool)
-            for row in range(batch.num_rows):
-                x, y = a[a_at[row] : a_at[row + 1]], b[b_at[row] : b_at[row + 1]]
+        for batch, sets in _pairs(batches, words):
+            linked = []
+            for x, y in sets:
                 both = np.sort(np.concatenate([x, y]))
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                linked[row] = common > 0 and 100 * common >= percent * (len(x) + len(y) - common)
-            yield batch.select(["a", "b"]).filter(pa.array(linked))
+                linked.append(_similar(int(np.count_nonzero(both[1:] == both[:-1])), len(both), percent))
+            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+
+    return results
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], words: int):
+    for batch in tb.pieces(batches, "text_b"):
+        a, a_at = shingle_sets(batch.column("text_a"), words)
+        b, b_at = shingle_sets(batch.column("text_b"), words)
+        yield batch, [(a[a_at[i] : a_at[i + 1]], b[b_at[i] : b_at[i + 1]]) for i in range(batch.num_rows)]
+
+
+def difference_prefixes(
+    center: np.ndarray, leaf: np.ndarray, percent: int
+) -> tuple[bool, np.ndarray, np.ndarray, int]:
+    """Whether a leaf is linked with its center, two prefixes of its difference, and its size.
+
+    Two sets of sizes S in sum reach the similarity if their difference is at most
+    k * S, k = (100 - percent) / (100 + percent).  Shingles that the center lacks come
+    first in the order, as few leaves share those.  The first prefix is for meeting a leaf
+    that is not linked with the center; the second, for one that is not linked itself.
+    """
+    common = np.isin(leaf, center, assume_unique=True)
+    n_common = int(common.sum())
+    linked = _similar(n_common, len(center) + len(leaf), percent)
+    differs = np.concatenate([leaf[~common], center[~np.isin(center, leaf, assume_unique=True)]])
+    size, top, bottom = len(differs), 100 - percent, 100 + percent
+    # Shared with such a leaf: more than (|D| + k * (|center| - |leaf|)) / 2.
+    with_unlinked = (size * bottom + top * (len(center) - len(leaf))) // (2 * bottom) + 1
+    first = differs[: size - max(1, with_unlinked) + 1]
+    if linked:
+        return True, first, differs[:0], size
+    # Shared at least: |D| - k * (sizes), the other size at most 100 / percent of the own.
+    at_least = size - (top * len(leaf) * (percent + 100)) // (bottom * percent)
+    return False, first, differs[: size - max(1, at_least) + 1], size
+
+
+def _compared(words: int, percent: int):
+    def results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, sets in _pairs(batches, words):
+            rows = [difference_prefixes(x, y, percent) for x, y in sets]
+            lists = lambda k: pa.array([row[k].view(np.int64) for row in rows], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("a"),
+                    batch.column("b"),
+                    pa.array([row[0] for row in rows], pa.bool_()),
+                    lists(1),
+                    lists(2),
+                    pa.array([row[3] for row in rows], pa.int64()),
+                    pa.array([len(y) for _, y in sets], pa.int64()),
+                ],
+                ["center", "node", "linked", "first", "second", "n_differ", "n_leaf"],
+            )
 
     return results
 
 
+def _with_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b, text_a, text_b)."""
+    texts = docs.select("doc_id", "text")
+    return (
+        pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+        .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+        .select("a", "b", "text_a", "text_b")
+    )
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the similarity."""
-    texts = docs.select("doc_id", "text")
-    joined = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(
-        texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"
+    return tb.map_texts(_with_texts(pairs, docs), _confirmed(words, percent), "a bigint, b bigint")
+
+
+def compare_stars(stars: DataFrame, docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """Each star edge: linked, the prefixes of the leaf's difference, sizes of it and of the leaf."""
+    return tb.map_texts(
+        _with_texts(stars.select(F.col("center").alias("a"), F.col("node").alias("b")), docs),
+        _compared(words, percent),
+        "center bigint, node bigint, linked boolean, first array<bigint>, second array<bigint>, "
+        "n_differ bigint, n_leaf bigint",
     )
-    return tb.map_texts(joined.select("a", "b", "text_a", "text_b"), _confirmed(words, percent), "a bigint, b bigint")
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
-    """Rows (bucket, node, n, weight) of buckets with several nodes; weight: neighbours in all buckets."""
-    rows = nodes.select("node", "n", F.explode("bands").alias("bucket"))
+    """Rows (bucket, node, weight) of buckets with several nodes; weight: neighbours in all buckets."""
+    rows = nodes.select("node", F.explode("bands").alias("bucket"))
     several = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     shared = cut(rows.join(several, "bucket"))
     weight = shared.groupBy("node").agg(F.sum(F.col("size") - 1).alias("weight"))
     return cut(shared.drop("size").join(weight, "node"))
 
 
-def _sizes_allow(percent: int, a: str = "n_a", b: str = "n_b"):
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
-
-
-def star_edges(buckets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Distinct (a, b): in each bucket the best connected node with each other one."""
+def star_edges(buckets: DataFrame) -> DataFrame:
+    """Distinct (center, node): in each bucket the best connected node with each other one."""
     centers = (
         buckets.groupBy("bucket")
-        .agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"), "n")).alias("best"))
-        .select("bucket", (-F.col("best.minus")).alias("center"), F.col("best.n").alias("n_a"))
+        .agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("best"))
+        .select("bucket", (-F.col("best.minus")).alias("center"))
     )
     return (
-        buckets.withColumnRenamed("n", "n_b")
-        .join(centers, "bucket")
-        .where(F.col("node") != F.col("center"))
-        .where(_sizes_allow(percent))
-        .select(F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b"))
-        .distinct()
+        buckets.join(centers, "bucket").where(F.col("node") != F.col("center")).select("center", "node").distinct()
     )
 
 
-def edges_across(buckets: DataFrame, found: DataFrame, tried: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Distinct (a, b) of one bucket that lie in different components and were not tried yet."""
-    placed = buckets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = (
-        placed.groupBy("bucket")
+def leaf_pairs(compared: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Distinct (a, b) of leaves of one star that may be linked and are in different components.
+
+    A shingle at place i of a difference of size d leaves room for d - i common ones, and
+    the first common one of a linked pair leaves enough (positional filter).
+    """
+    placed = compared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = (
+        placed.groupBy("center")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low <> high")
-        .select("bucket")
+        .select("center")
     )
-    open_rows = cut(placed.join(split, "bucket").select("bucket", "node", "n", "component"))
-    left = open_rows.select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    right = open_rows.select("bucket", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
+    open_stars = cut(placed.join(several, "center"))
+
+    def side(rows: DataFrame, name: str, prefix: str) -> DataFrame:
+        return rows.select(
+            "center",
+            F.col("node").alias(name),
+            F.col("component").alias(f"c_{name}"),
+            F.col("n_differ").alias(f"d_{name}"),
+            F.col("n_leaf").alias(f"n_{name}"),
+            F.posexplode(prefix).alias(f"i_{name}", "shingle"),
+        )
+
+    a, b = side(open_stars, "a", "first"), side(open_stars.where("NOT linked"), "b", "second")
+    needed = (F.col("d_a") + F.col("d_b")) * (100 + percent) - (100 - percent) * (F.col("n_a") + F.col("n_b"))
+    room = F.least(F.col("d_a") - F.col("i_a"), F.col("d_b") - F.col("i_b")) * 2 * (100 + percent)
     return (
-        left.join(right, "bucket")
-        .where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _sizes_allow(percent))
-        .select("a", "b")
+        a.join(b, (a["center"] == b["center"]) & (a["shingle"] == b["shingle"]) & (F.col("c_a") != F.col("c_b")) & (needed <= room))
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
-        .join(tried, ["a", "b"], "left_anti")
     )
 
 
@@ -204,11 +283,11 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     )
     members = cut(signed.drop("bands").join(classes, ["set_a", "set_b"], "left"))
     nodes = signed.join(classes, ["set_a", "set_b"]).where("doc_id = node").dropDuplicates(["set_a", "set_b"])
-    buckets = _buckets(nodes.select("node", F.col("n_shingles").alias("n"), "bands"))
-    tried = cut(star_edges(buckets, percent))
-    links = cut(confirm(tried, docs, words, percent))
+    buckets = _buckets(nodes.select("node", "bands"))
+    compared = cut(compare_stars(star_edges(buckets), docs, words, percent))
+    links = compared.where("linked").select("center", "node")
     found = components(links)
-    more = cut(edges_across(buckets, found, tried, percent))
+    more = cut(leaf_pairs(compared, found, percent))
     # A doc_id with several texts ties their sets together.
     same_id = (
         members.where("node IS NOT NULL")
