@@ -31,7 +31,7 @@ KINDS = ("assign", "access", "hex", "random")
 
 #: Tokens are compared with tokens of similar length: lower ends of the strata.
 STRATA = (20, 28, 40, 64)
-FALSE_DISCOVERIES = 0.05
+FALSE_DISCOVERIES = 0.01
 #: p-values are counted in bins of a tenth of a power of ten.
 LOG_BINS, LEAST_LOG = 10, -30
 
