@@ -43,7 +43,7 @@ STANDS_FOR = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "*": "aeiou",
 }
 #: Log-probabilities of the channel.
-AS_IS, DISGUISED, REPEATED, DROPPED_SIGN, DROPPED_DIGIT = 0.0, -0.7, -0.3, -0.4, -5.0
+AS_IS, DISGUISED, REPEATED, DROPPED_SIGN, DROPPED_DISGUISE = 0.0, -0.7, -0.3, -0.4, -4.0
 
 LETTERS = tb._byte_class([*range(0x61, 0x7B), *range(0x80, 0x100)])
 _DIGITS = tb._byte_class(range(0x30, 0x3A))
@@ -94,10 +94,13 @@ def restore(token: str, model: list[list[float]]) -> str:
             options += [(x, DISGUISED) for x in STANDS_FOR[char]]
         elif char.isalpha():
             options.append((char, AS_IS))
-        # Signs may stand for nothing, and so may a repeated character.
-        dropped = REPEATED if char == previous else None
-        if not char.isalpha():
-            dropped = max(DROPPED_DIGIT if char.isdigit() else DROPPED_SIGN, dropped if dropped is not None else -99.0)
+        # Signs may stand for nothing, and so may a repeated character; a digit always stands for a letter.
+        if char == previous:
+            dropped = REPEATED
+        elif char.isalnum():
+            dropped = None
+        else:
+            dropped = DROPPED_DISGUISE if char in STANDS_FOR else DROPPED_SIGN
         following: dict[int, tuple[float, str]] = {}
         for last, (score, word) in states.items():
             if dropped is not None:
