@@ -1,33 +1,58 @@
-"""Squared-Euclidean geometry as JVM-side expressions over double columns."""
+"""Squared-Euclidean geometry over an array column of doubles.
+
+Centers are data inside one expression, so the generated code has the same size for
+any number of features and clusters.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def squared_distance(features: Sequence[Column], center: Sequence[float]) -> Column:
-    """Squared distance of one row's features to one fixed point."""
-    gaps = [f - F.lit(float(c)) for f, c in zip(features, center, strict=True)]
-    return reduce(add, [gap * gap for gap in gaps])
+def is_usable(features: Column) -> Column:
+    """True where every feature is a finite number; NULL, NaN and infinities are not."""
+    return F.forall(features, lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
+
+
+def all_usable(columns: Sequence[str]) -> Column:
+    return is_usable(F.array(*[F.col(c).cast("double") for c in columns]))
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda total, x: total + x)
+
+
+def squared_distance(a: Column, b: Column) -> Column:
+    return _total(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)))
+
+
+def squared_norm(features: Column) -> Column:
+    return _total(F.transform(features, lambda x: x * x))
+
 
+def dot(a: Column, b: Column) -> Column:
+    return _total(F.zip_with(a, b, lambda x, y: x * y))
 
-def squared_norm(features: Sequence[Column]) -> Column:
-    return reduce(add, [f * f for f in features])
 
+def point(values: Sequence[float]) -> Column:
+    return F.lit([float(x) for x in values])
 
-def dot(features: Sequence[Column], weights: Sequence[float]) -> Column:
-    return reduce(add, [f * F.lit(float(w)) for f, w in zip(features, weights, strict=True)])
 
+def nearest_center(features: Column, centers: Sequence[Sequence[float]]) -> Column:
+    """struct(d2, cluster_id) of the nearest center; the lowest id wins a tie.
 
-def nearest_center(features: Sequence[Column], centers: Sequence[Sequence[float]]) -> Column:
-    """struct(d2, cluster_id) of the nearest center; the lowest id wins a tie."""
-    candidates = [
-        F.struct(squared_distance(features, center).alias("d2"), F.lit(i).alias("cluster_id"))
-        for i, center in enumerate(centers)
-    ]
-    return F.array_min(F.array(*candidates))
+    NULL for features that are not usable: such a row is near nothing.
+    """
+    points = F.array(
+        *[F.struct(F.lit(i).alias("cluster_id"), point(c).alias("point")) for i, c in enumerate(centers)]
+    )
+    measured = F.transform(
+        points,
+        lambda c: F.struct(
+            squared_distance(features, c["point"]).alias("d2"), c["cluster_id"].alias("cluster_id")
+        ),
+    )
+    return F.when(is_usable(features), F.array_min(measured))

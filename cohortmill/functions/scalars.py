@@ -90,10 +90,13 @@ def contains_any(column: Column, words: Iterable[str]) -> Column:
 
 
 def magnitude_text(value: Column, unit: Column) -> Column:
-    """Number as a chart caption: thousands without decimals, else one decimal, small money with two."""
+    """Number as a chart caption: thousands without decimals, else one decimal, small money with two.
+
+    Only captions above a thousand have a thousands mark.
+    """
     return (
         F.when(value > 1000, F.format_number(value, 0))
-        .when(value > 10, F.format_number(value, 1))
-        .when(unit == "$", F.concat(F.lit("$"), F.format_number(value, 2)))
-        .otherwise(F.format_number(value, 1))
+        .when(value > 10, F.format_string("%.1f", value))
+        .when(unit == "$", F.format_string("$%.2f", value))
+        .otherwise(F.format_string("%.1f", value))
     )

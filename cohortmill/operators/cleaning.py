@@ -90,11 +90,12 @@ def clean_events(
 
 def clean_metadata(raw: DataFrame, columns: MetadataColumns = MetadataColumns()) -> DataFrame:
     """Typed metadata rows that have an integer key; keys may repeat."""
-    return raw.select(
+    typed = raw.select(
         int_key(named(columns.key), is_text(raw, columns.key)).alias("meta_appid"),
         named(columns.name).alias("meta_game_name"),
         number(named(columns.price), is_text(raw, columns.price)).alias("meta_price"),
-    ).where(F.col("meta_appid").isNotNull())
+    )
+    return _cast_once(typed).where(F.col("meta_appid").isNotNull())
 
 
 def rejects_by_rule(

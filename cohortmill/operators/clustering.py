@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortmill import fixed_values as fixed
-from cohortmill.operators.evaluation import cluster_sums, cost_from_sums, silhouette
+from cohortmill.functions.geometry import all_usable
+from cohortmill.operators.evaluation import sweep_scores
 from cohortmill.operators.scaling import scaling_stages
 from cohortmill.sources.tables import SWEEP_SCHEMA
 from cohortmill.storage import held
@@ -22,8 +23,11 @@ from cohortmill.storage import held
 Centers = list[list[float]]
 
 # Sizes the fit's partitions: large enough that a task outweighs its overhead,
-# small enough that a task's rows and its cached copy stay far below executor memory.
+# small enough that a task's rows stay far below executor memory.  The number of partitions,
+# and through it the starting points of a fit, follows from it; wide rows want fewer.
 ROWS_PER_PARTITION = 100_000
+#: Fits of a sweep that run side by side; they share one held table.
+SWEEP_PARALLELISM = 3
 
 
 def stable_layout(
@@ -66,40 +70,33 @@ def k_sweep(
     ks: Sequence[int] = fixed.SWEEP_K,
     seed: int = fixed.SEED,
     max_iterations: int = fixed.MAX_ITERATIONS,
-    parallelism: int | None = None,
+    parallelism: int = SWEEP_PARALLELISM,
+    rows_per_partition: int = ROWS_PER_PARTITION,
 ) -> tuple[DataFrame, dict[int, Centers]]:
     """Cost and silhouette for every K, and the fitted centers.
 
-    ``scaled`` must be a materialised table: one laid-out copy is held in memory for
-    all fits, and what is lost of it is read again from storage.  ``parallelism`` fits run at a
-    time, all by default: one fit is a chain of short jobs that leaves executors
-    idle at each step's end, and concurrent fits fill those gaps.
+    ``scaled`` must be a materialised table; rows with an unusable feature are left out.
+    One laid-out table of vectors is held for all fits: as it is held already, no fit
+    keeps a copy of its own, and what is lost of it is read again from storage.  All
+    models are then scored together, in one pass for their sums and one for their
+    silhouettes.
 
     The cost is measured on the final centers from plain sums.  The fit's own cost
     comes from an accumulator, which counts a task twice if it runs twice.
     """
     spark = scaled.sparkSession
-    layout = stable_layout(scaled.select(*keys, *scaled_columns), keys)
-    with held(layout) as narrow:
-        # Not held itself, so each fit keeps its own rows as ready-made vectors and
-        # reads the compact copy only once instead of once per iteration.
-        vectors = as_vectors(narrow, scaled_columns)
-
-        def fit_and_score(k: int) -> tuple[int, Centers, float, float | None]:
-            model = kmeans(k, seed, max_iterations).fit(vectors)
-            centers = center_lists(model)
-            assigned = model.transform(vectors)
-            sums = cluster_sums(assigned, scaled_columns).collect()
-            score = silhouette(assigned, scaled_columns, sums).first()["silhouette"]
-            return k, centers, cost_from_sums(sums, centers), score
-
-        with ThreadPool(max(1, min(parallelism or len(ks), len(ks)))) as pool:
+    usable = scaled.select(*keys, *scaled_columns).where(all_usable(scaled_columns))
+    layout = stable_layout(usable, keys, rows_per_partition)
+    with held(as_vectors(layout, scaled_columns).select("scaled_features", *scaled_columns)) as vectors:
+
+        def fit(k: int) -> tuple[int, Centers]:
+            return k, center_lists(kmeans(k, seed, max_iterations).fit(vectors))
+
+        with ThreadPool(max(1, min(parallelism, len(ks)))) as pool:
             # The largest K takes longest, so it starts first.
-            fitted = pool.map(
-                inheritable_thread_target(spark)(fit_and_score), sorted(ks, reverse=True), 1
-            )
-    records = sorted((k, cost, score) for k, _, cost, score in fitted)
-    centers = {k: found for k, found, _, _ in fitted}
+            fitted = pool.map(inheritable_thread_target(spark)(fit), sorted(ks, reverse=True), 1)
+        centers = dict(sorted(fitted))
+        records = sweep_scores(vectors, scaled_columns, centers)
     return spark.createDataFrame(records, SWEEP_SCHEMA), centers
 
 

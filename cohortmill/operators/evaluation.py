@@ -1,58 +1,50 @@
-"""Assignment, cost and silhouette.
+"""Assignment, cost and silhouette, one form each for every width and number of clusters.
 
-An assigned table carries the scaled feature columns and ``cluster_id``.
+An assigned table carries the scaled feature columns and ``cluster_id``.  A row with a
+feature that is NULL, NaN or infinite has no cluster and counts in no measure.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from cohortmill.functions.geometry import dot, nearest_center, squared_norm
+from cohortmill.functions.geometry import dot, nearest_center, point, squared_norm
 
-# Above this many terms (clusters times features) one expression per cluster makes the
-# generated code too large to be compiled well, and a form of constant size takes over.
-MAX_UNROLLED_TERMS = 128
+_FEATURES = "_feature_array"
+
+
+def _with_array(scaled: DataFrame, scaled_columns: Sequence[str]) -> DataFrame:
+    return scaled.withColumn(_FEATURES, F.array(*[F.col(c).cast("double") for c in scaled_columns]))
 
 
 def assign(scaled: DataFrame, scaled_columns: Sequence[str], centers) -> DataFrame:
-    """Adds ``cluster_id`` and the squared distance ``d2`` to the nearest center."""
-    if len(centers) * len(scaled_columns) <= MAX_UNROLLED_TERMS:
-        nearest = nearest_center([F.col(c) for c in scaled_columns], centers)
-    else:
-        nearest = _nearest_in(F.array(*scaled_columns), centers)
+    """Adds ``cluster_id`` and the squared distance ``d2`` to the nearest center, NULL for unusable rows."""
     return (
-        scaled.withColumn("nearest", nearest)
+        _with_array(scaled, scaled_columns)
+        .withColumn("nearest", nearest_center(F.col(_FEATURES), centers))
         .withColumns({"cluster_id": F.col("nearest.cluster_id"), "d2": F.col("nearest.d2")})
-        .drop("nearest")
+        .drop("nearest", _FEATURES)
     )
 
 
-def _nearest_in(features: Column, centers) -> Column:
-    """``nearest_center`` over arrays: the centers are data, not code."""
-    points = F.array(
-        *[
-            F.struct(F.lit(i).alias("cluster_id"), F.lit([float(x) for x in c]).alias("point"))
-            for i, c in enumerate(centers)
-        ]
-    )
+def wssse(assigned: DataFrame) -> DataFrame:
+    """One row: the within-set sum of squared errors."""
+    return assigned.agg(F.sum("d2").alias("wssse"))
 
-    def measured(center: Column) -> Column:
-        gaps = F.zip_with(features, center["point"], lambda x, c: (x - c) * (x - c))
-        d2 = F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
-        return F.struct(d2.alias("d2"), center["cluster_id"].alias("cluster_id"))
 
-    return F.array_min(F.transform(points, measured))
+def _sums(width: int) -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.sum(squared_norm(F.col(_FEATURES))).alias("norms"),
+        *[F.sum(F.get(F.col(_FEATURES), F.lit(i))).alias(f"s{i}") for i in range(width)],
+    ]
 
 
-def wssse(assigned: DataFrame) -> DataFrame:
-    """One row: the within-set sum of squared errors."""
-    return assigned.agg(F.sum("d2").alias("wssse"))
+def _total(width: int) -> Column:
+    return F.array(*[f"s{i}" for i in range(width)]).alias("total")
 
 
 def cluster_sums(assigned: DataFrame, scaled_columns: Sequence[str]) -> DataFrame:
@@ -61,14 +53,9 @@ def cluster_sums(assigned: DataFrame, scaled_columns: Sequence[str]) -> DataFram
     Plain sums, combined on the map side: the shuffle carries one row per cluster
     and task, however uneven the clusters are.
     """
-    norm = squared_norm([F.col(c) for c in scaled_columns])
-    sums = assigned.groupBy("cluster_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(norm).alias("norms"),
-        *[F.sum(c).alias(f"s{i}") for i, c in enumerate(scaled_columns)],
-    )
-    total = F.array(*[f"s{i}" for i in range(len(scaled_columns))])
-    return sums.select("cluster_id", "n", "norms", total.alias("total"))
+    width = len(scaled_columns)
+    rows = _with_array(assigned, scaled_columns).where(F.col("cluster_id").isNotNull())
+    return rows.groupBy("cluster_id").agg(*_sums(width)).select("cluster_id", "n", "norms", _total(width))
 
 
 def cost_from_sums(sums: Sequence[Row], centers) -> float:
@@ -81,49 +68,121 @@ def cost_from_sums(sums: Sequence[Row], centers) -> float:
     return cost
 
 
+def _row_silhouette(features: Column, own: Column, sums: Sequence[Row]) -> Column:
+    """The silhouette of one row from the sums of all clusters.
+
+    The mean squared distance from x to a cluster of n rows with mean m and mean
+    squared norm y is |x|^2 - 2 x.m + y, so a row needs K sums and no other row.
+    """
+    clusters = F.array(
+        *[
+            F.struct(
+                F.lit(row["cluster_id"]).alias("cluster_id"),
+                F.lit(float(row["n"])).alias("n"),
+                point([2.0 * s / row["n"] for s in row["total"]]).alias("twice_mean"),
+                F.lit(row["norms"] / row["n"]).alias("norm"),
+            )
+            for row in sums
+        ]
+    )
+    reach = F.transform(
+        clusters,
+        lambda c: F.struct(
+            c["cluster_id"].alias("cluster_id"),
+            c["n"].alias("n"),
+            F.greatest(squared_norm(features) - dot(features, c["twice_mean"]) + c["norm"], F.lit(0.0)).alias("d"),
+        ),
+    )
+
+    def score(reached: Column) -> Column:
+        mine = F.get(F.filter(reached, lambda r: r["cluster_id"] == own), F.lit(0))
+        # The row itself is at distance 0 and does not count among its neighbours.
+        a = F.when(mine["n"] > 1, mine["d"] * mine["n"] / (mine["n"] - 1.0))
+        b = F.array_min(F.transform(F.filter(reached, lambda r: r["cluster_id"] != own), lambda r: r["d"]))
+        return F.when(a < b, 1.0 - a / b).when(a > b, b / a - 1.0).otherwise(F.lit(0.0))
+
+    return F.get(F.transform(F.array(reach), score), F.lit(0))
+
+
 def silhouette(
     assigned: DataFrame, scaled_columns: Sequence[str], sums: Sequence[Row] | None = None
 ) -> DataFrame:
-    """One row: the mean squared-Euclidean silhouette.
+    """One row: the mean squared-Euclidean silhouette, in two passes and without pairs.
 
-    The mean squared distance from x to a cluster of n rows with mean m and mean
-    squared norm y is |x|^2 - 2 x.m + y, so a row needs K sums and no other row:
-    two passes, no pairs.  ``sums`` are the collected rows of ``cluster_sums``, K
-    of them.  A row alone in its cluster counts 0; with a single non-empty cluster
-    the value is NULL.
+    ``sums`` are the collected rows of ``cluster_sums``, K of them.  A row alone in its
+    cluster counts 0; with a single non-empty cluster the value is NULL.
     """
     if sums is None:
         sums = cluster_sums(assigned, scaled_columns).collect()
     if len(sums) < 2:
         return assigned.agg(F.lit(None).cast("double").alias("silhouette"))
-    if len(sums) * len(scaled_columns) > MAX_UNROLLED_TERMS:
-        return _ml_silhouette(assigned, scaled_columns)
+    rows = _with_array(assigned, scaled_columns).where(F.col("cluster_id").isNotNull())
+    score = _row_silhouette(F.col(_FEATURES), F.col("cluster_id"), sums)
+    return rows.agg(F.avg(score).alias("silhouette"))
 
-    features = [F.col(c) for c in scaled_columns]
-    reach = {}
-    own = F.lit(None).cast("double")
-    others = []
-    for row in sums:
-        n, column = float(row["n"]), f"reach_{row['cluster_id']}"
-        mean = [s / n for s in row["total"]]
-        distance = squared_norm(features) - dot(features, [2.0 * m for m in mean]) + row["norms"] / n
-        reach[column] = F.greatest(distance, F.lit(0.0))
-        mine = F.col("cluster_id") == row["cluster_id"]
-        # The row itself is at distance 0 and does not count among its neighbours.
-        inside = F.col(column) * (n / (n - 1.0)) if n > 1 else F.lit(None).cast("double")
-        own = F.when(mine, inside).otherwise(own)
-        others.append(F.when(~mine, F.col(column)))
-    sides = assigned.withColumns(reach).select(own.alias("a"), F.least(*others).alias("b"))
-    a, b = F.col("a"), F.col("b")
-    score = F.when(a < b, 1.0 - a / b).when(a > b, b / a - 1.0).otherwise(F.lit(0.0))
-    return sides.agg(F.avg(score).alias("silhouette"))
-
-
-def _ml_silhouette(assigned: DataFrame, scaled_columns: Sequence[str]) -> DataFrame:
-    """The same value for wide features, from Spark ML's evaluator over vectors."""
-    vectors = VectorAssembler(inputCols=list(scaled_columns), outputCol="features_vector")
-    value = ClusteringEvaluator(
-        featuresCol="features_vector", predictionCol="cluster_id"
-    ).evaluate(vectors.transform(assigned.select("cluster_id", *scaled_columns)))
-    schema = T.StructType([T.StructField("silhouette", T.DoubleType())])
-    return assigned.sparkSession.createDataFrame([(float(value),)], schema)
+
+def sweep_scores(
+    scaled: DataFrame, scaled_columns: Sequence[str], models: Mapping[int, Sequence[Sequence[float]]]
+) -> list[tuple[int, float, float | None]]:
+    """(K, cost, silhouette) of every model, in two passes over ``scaled`` for all of them.
+
+    The driver sees one row per cluster of each model.
+    """
+    rows = _with_array(scaled, scaled_columns)
+    features, width = F.col(_FEATURES), len(scaled_columns)
+    nearest = [
+        F.struct(F.lit(k).alias("k"), nearest_center(features, centers)["cluster_id"].alias("cluster_id"))
+        for k, centers in models.items()
+    ]
+    found = (
+        rows.select(_FEATURES, F.explode(F.array(*nearest)).alias("at"))
+        .where(F.col("at.cluster_id").isNotNull())
+        .groupBy(F.col("at.k").alias("k"), F.col("at.cluster_id").alias("cluster_id"))
+        .agg(*_sums(width))
+        .select("k", "cluster_id", "n", "norms", _total(width))
+        .collect()
+    )
+    sums = {k: sorted((r for r in found if r["k"] == k), key=lambda r: r["cluster_id"]) for k in models}
+    several = [k for k in models if len(sums[k]) > 1]
+    scores: dict[int, float] = {}
+    if several:
+        own = rows.select(
+            _FEATURES,
+            *[nearest_center(features, models[k])["cluster_id"].alias(f"own_{k}") for k in several],
+        )
+        means = own.where(F.col(f"own_{several[0]}").isNotNull()).agg(
+            *[F.avg(_row_silhouette(features, F.col(f"own_{k}"), sums[k])).alias(str(k)) for k in several]
+        )
+        scores = {int(k): v for k, v in means.first().asDict().items()}
+    return [(k, cost_from_sums(sums[k], centers), scores.get(k)) for k, centers in models.items()]
+
+
+def fit_checks(assigned: DataFrame, scaled_columns: Sequence[str], centers, tolerance: float = 1e-2) -> DataFrame:
+    """What a finished K-Means fit fulfils and other centers do not, one row.
+
+    Every center is the mean of its rows, within ``tolerance`` a slot, and moving any center
+    by ten times as much along any slot does not lower the cost.
+    """
+    sums = cluster_sums(assigned, scaled_columns).collect()  # one row per cluster
+    cost = cost_from_sums(sums, centers)
+    at_mean = all(
+        abs(s / row["n"] - c) <= tolerance
+        for row in sums
+        for s, c in zip(row["total"], centers[row["cluster_id"]], strict=True)
+    )
+
+    def moved(cluster: int, slot: int, step: float):
+        return [[x + step * (i == cluster and j == slot) for j, x in enumerate(c)] for i, c in enumerate(centers)]
+
+    least = all(
+        cost <= cost_from_sums(sums, moved(row["cluster_id"], slot, step))
+        for row in sums
+        for slot in range(len(scaled_columns))
+        for step in (10 * tolerance, -10 * tolerance)
+    )
+    return assigned.agg(
+        F.count("cluster_id").alias("assigned_rows"),
+        F.countDistinct("cluster_id").alias("filled_clusters"),
+        F.lit(at_mean).alias("centers_are_means"),
+        F.lit(least).alias("moved_centers_cost_more"),
+    )

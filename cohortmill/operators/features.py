@@ -46,14 +46,8 @@ def feature_table(joined: DataFrame, min_popularity: int = fixed.MIN_POPULARITY)
     The thresholds apply to the rounded rating.  They only touch aggregate
     columns, so Catalyst evaluates them below the metadata join.
     """
-    return joined.select(
-        "app_id",
-        "game_name",
-        "price",
-        F.round("rating_percent", 2).alias("rating_percent"),
-        "popularity",
-        "playtime_hours",
-    ).where(
+    rounded = joined.withColumn("rating_percent", F.round("rating_percent", 2))
+    return rounded.select(*FEATURE_TABLE_COLUMNS).where(
         F.col("rating_percent").between(fixed.MIN_RATING, fixed.MAX_RATING)
         & (F.col("popularity") >= min_popularity)
         & (F.col("playtime_hours") >= 0)

@@ -11,6 +11,8 @@ from cohortmill import fixed_values as fixed
 
 # A repeated metadata key is spread over this many join keys.
 FANOUT_SALTS = 64
+# Identical metadata rows that one task unfolds at a time.
+COPIES_PER_CHUNK = 1_000
 
 
 def one_row_per_key(metadata: DataFrame) -> DataFrame:
@@ -88,5 +90,15 @@ def _fan_out(entities: DataFrame, metadata: DataFrame) -> DataFrame:
         (F.col("app_id") == F.col("meta_appid")) & (F.col("entity_salt") == F.col("salt")),
         "left",
     )
-    copy = F.explode(F.sequence(F.lit(1), F.coalesce(F.col("copies"), F.lit(1)).cast("int")))
-    return joined.withColumn("copy", copy).drop("copy", "copies", "salt", "entity_salt")
+    # Copies leave in chunks that are dealt out by their number before they are unfolded.
+    copies = F.coalesce(F.col("copies"), F.lit(1)).cast("bigint")
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((copies - 1) / COPIES_PER_CHUNK))
+    chunked = joined.withColumn("_copies", copies).withColumn("_chunk", F.explode(chunks))
+    repeated = chunked.where(F.col("_copies") > COPIES_PER_CHUNK)
+    single = chunked.where(F.col("_copies") <= COPIES_PER_CHUNK)
+    # The chunks are few bytes, so adaptive execution would merge them: the number is given.
+    width = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = single.unionByName(repeated.repartition(width, "app_id", "_chunk"))
+    left = F.least(F.lit(COPIES_PER_CHUNK), F.col("_copies") - F.col("_chunk") * COPIES_PER_CHUNK)
+    copy = F.explode(F.sequence(F.lit(1).cast("bigint"), left))
+    return dealt.withColumn("copy", copy).drop("copy", "copies", "salt", "entity_salt", "_copies", "_chunk")

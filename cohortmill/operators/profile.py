@@ -130,25 +130,42 @@ def cluster_labels(statistics: DataFrame) -> DataFrame:
     )
 
 
-def label_texts(labels: DataFrame) -> DataFrame:
-    """Adds the published name, short name and description of each label."""
+def label_texts(labels: DataFrame, statistics: DataFrame) -> DataFrame:
+    """Adds the published name and short name of each label, and a description of its numbers."""
     texts = F.create_map(
         *[
             part
-            for label, (name, short, text) in fixed.LABEL_TEXTS.items()
-            for part in (
-                F.lit(label),
-                F.struct(
-                    F.lit(name).alias("name"),
-                    F.lit(short).alias("short_name"),
-                    F.lit(text).alias("description"),
-                ),
-            )
+            for label, (name, short) in fixed.LABEL_TEXTS.items()
+            for part in (F.lit(label), F.struct(F.lit(name).alias("name"), F.lit(short).alias("short_name")))
         ]
     )
-    return labels.withColumn("text", texts[F.col("label")]).select(
-        *labels.columns, "text.name", "text.short_name", "text.description"
+    description = F.concat(
+        F.lit("Means: rating "),
+        F.col("avg_rating_percent").cast("string"),
+        F.lit(" %, price "),
+        F.col("avg_price").cast("string"),
+        F.lit(", reviews "),
+        F.col("avg_popularity_reviews").cast("string"),
+        F.lit(", hours "),
+        F.col("avg_playtime_hours").cast("string"),
     )
+    described = statistics.select("cluster_id", description.alias("description"))
+    return (
+        labels.withColumn("text", texts[F.col("label")])
+        .join(described, "cluster_id", "left")
+        .select(*labels.columns, "text.name", "text.short_name", "description")
+    )
+
+
+def cluster_meta(labels: DataFrame, statistics: DataFrame, scored: DataFrame, n: int = 5) -> DataFrame:
+    """(cluster_id, name, short_name, description, representative): up to ``n`` names per cluster."""
+    listed = representatives(scored, n).groupBy("cluster_id").agg(
+        F.transform(
+            F.sort_array(F.collect_list(F.struct("place", "game_name"))), lambda r: r["game_name"]
+        ).alias("representative")
+    )
+    texts = label_texts(labels, statistics).drop("count", "label")
+    return texts.join(listed, "cluster_id", "left")
 
 
 def with_labels(clustered: DataFrame, labels: Mapping[int, str]) -> DataFrame:
@@ -163,7 +180,7 @@ def representatives(scored: DataFrame, n: int = 5, columns: Sequence[str] = ("ap
     Spark limits each task to ``n`` rows per cluster before the shuffle, so a
     cluster that holds most entities does not become one large window.
     """
-    order = Window.partitionBy("cluster_id").orderBy("d2", "app_id")
+    order = Window.partitionBy("cluster_id").orderBy("d2", "app_id", "game_name")
     return (
         scored.select("cluster_id", *columns, "d2")
         .withColumn("place", F.row_number().over(order))

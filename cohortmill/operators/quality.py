@@ -64,6 +64,15 @@ def cross_checks(clustered: DataFrame, sizes: DataFrame, sweep: DataFrame, chose
     return sizes_check.unionByName(best_check).withColumn("ok", F.col("expected") == F.col("actual"))
 
 
+def usable_check(unusable: DataFrame) -> DataFrame:
+    """The number of rows without usable features as a check; ``unusable`` has it as its only value."""
+    return unusable.select(
+        F.lit("unusable_feature_rows").alias("check_name"),
+        F.lit(0).cast("long").alias("expected"),
+        F.col(unusable.columns[0]).alias("actual"),
+    ).withColumn("ok", F.col("expected") == F.col("actual"))
+
+
 def column_profile(df: DataFrame) -> DataFrame:
     """(column_name, data_type, row_count, null_count): the schema with what the rows hold, in one scan."""
     quoted = ["`" + f.name.replace("`", "``") + "`" for f in df.schema]

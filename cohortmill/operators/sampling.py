@@ -20,11 +20,15 @@ def plot_sample(
     n: int = fixed.PLOT_SAMPLE_ROWS,
     seed: int = fixed.SEED,
     key: str = "app_id",
+    distinct: Sequence[str] = (),
 ) -> DataFrame:
-    """A uniform sample of min(n, rows) entities without replacement.
+    """A uniform sample of min(n, rows) rows without replacement.
 
     Rows are ordered by a digest of key and seed, so the sample does not depend on
     partitioning; each task keeps its own top ``n`` and no full sort takes place.
+    Rows that share a key are told apart by ``distinct`` columns where the table has them.
     """
-    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
-    return clustered.orderBy(digest, key).limit(n)
+    parts = [F.col(key).cast("string"), F.lit(f":{seed}")]
+    others = [c for c in distinct if c in clustered.columns]
+    parts += [F.coalesce(F.concat(F.lit(":"), F.col(c).cast("string")), F.lit("")) for c in others]
+    return clustered.orderBy(F.md5(F.concat(*parts)), key, *others).limit(n)

@@ -7,9 +7,13 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortmill.functions.geometry import is_usable
+
 
 @dataclass(frozen=True)
 class Standardizer:
@@ -45,24 +49,21 @@ def scaler_params(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return moments.select(F.inline(F.array(*moments.columns)))
 
 
-# Beyond this many columns one aggregate over a vector compiles far faster than two
-# aggregate functions per column.
-MAX_AGGREGATED_COLUMNS = 32
-
-
 def fit_standardizer(df: DataFrame, columns: Sequence[str]) -> Standardizer:
-    """Brings one number pair per column to the driver, as any scaler fit does."""
-    if len(columns) > MAX_AGGREGATED_COLUMNS:
-        assembler, scaler = scaling_stages(columns)
-        fitted = scaler.fit(assembler.transform(df))
-        return Standardizer(
-            tuple(columns), tuple(map(float, fitted.mean)), tuple(map(float, fitted.std))
-        )
-    found = {r["feature"]: r for r in scaler_params(df, columns).collect()}
+    """Mean and sample deviation of every column over the usable rows, in one aggregate of one vector.
+
+    A row with a NULL, NaN or infinite feature is left out, for any number of columns.
+    Brings one number pair per column to the driver, as any scaler fit does.
+    """
+    features = F.array(*[F.col(c).cast("double") for c in columns])
+    usable = df.where(is_usable(features)).select(array_to_vector(features).alias("v"))
+    found = usable.agg(
+        F.count(F.lit(1)).alias("n"), Summarizer.metrics("mean", "std").summary(F.col("v")).alias("s")
+    ).first()
+    if not found["n"]:
+        return Standardizer(tuple(columns), (0.0,) * len(columns), (0.0,) * len(columns))
     return Standardizer(
-        tuple(columns),
-        tuple(found[c]["mean"] or 0.0 for c in columns),
-        tuple(found[c]["deviation"] for c in columns),
+        tuple(columns), tuple(map(float, found["s"]["mean"])), tuple(map(float, found["s"]["std"]))
     )
 
 

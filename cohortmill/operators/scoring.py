@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import Literal
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortmill.operators.evaluation import assign
-from cohortmill.operators.features import DEFAULT_FEATURES, Feature, feature_names, with_features
+from cohortmill.operators.features import (
+    DEFAULT_FEATURES,
+    FEATURE_TABLE_COLUMNS,
+    Feature,
+    feature_names,
+    with_features,
+)
 from cohortmill.operators.scaling import Standardizer, scaled_names, standardize
 
 _MODEL_SCHEMA = T.StructType(
@@ -36,6 +43,19 @@ _MODEL_SCHEMA = T.StructType(
 )
 
 
+Unusable = Literal["null", "skip", "error"]
+
+
+def treat_unusable(scored: DataFrame, usable: Column, unusable: Unusable) -> DataFrame:
+    """``scored`` with a NULL ``cluster_id`` where not ``usable``, without those rows, or a failure."""
+    if unusable == "skip":
+        return scored.where(usable)
+    if unusable not in ("null", "error"):
+        raise ValueError(f"unusable={unusable!r} is none of null, skip, error")
+    other = F.lit(None) if unusable == "null" else F.raise_error(F.lit("a feature is NULL, NaN or infinite"))
+    return scored.withColumn("cluster_id", F.when(usable, F.col("cluster_id")).otherwise(other.cast("int")))
+
+
 @dataclass(frozen=True)
 class SegmentModel:
     """Feature definitions, scaler and centers: a few numbers per feature and cluster.
@@ -55,9 +75,14 @@ class SegmentModel:
     def scale(self, table: DataFrame) -> DataFrame:
         return standardize(with_features(table, self.features), self.scaler)
 
-    def score(self, table: DataFrame) -> DataFrame:
-        """Adds the feature and scaled columns, ``cluster_id`` and ``d2``."""
-        return assign(self.scale(table), self.scaled_columns, self.centers)
+    def score(self, table: DataFrame, unusable: Unusable = "null") -> DataFrame:
+        """Adds the feature and scaled columns, ``cluster_id`` and ``d2``.
+
+        ``unusable`` says what becomes of rows with a NULL, NaN or infinite feature:
+        ``null`` keeps them without a cluster, ``skip`` leaves them out, ``error`` fails.
+        """
+        assigned = assign(self.scale(table), self.scaled_columns, self.centers)
+        return treat_unusable(assigned, F.col("cluster_id").isNotNull(), unusable)
 
     def save(self, spark: SparkSession, path: str) -> None:
         row = (
@@ -100,12 +125,4 @@ def from_ml_stages(
 
 def clustered_table(scored: DataFrame) -> DataFrame:
     """The seven published columns."""
-    return scored.select(
-        "app_id",
-        "game_name",
-        "price",
-        "rating_percent",
-        "popularity",
-        "playtime_hours",
-        F.col("cluster_id").cast("int").alias("cluster_id"),
-    )
+    return scored.select(*FEATURE_TABLE_COLUMNS, F.col("cluster_id").cast("int").alias("cluster_id"))

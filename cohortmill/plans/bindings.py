@@ -68,20 +68,16 @@ def line_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def part_metadata(spark: SparkSession, folder: str) -> DataFrame:
-    """All-text metadata that misses some parts, with bad keys, blank prices and missing names."""
+    """All-text metadata of every part, many of them with bad keys, blank prices or missing names."""
     size = F.col("p_size")
     key = F.col("p_partkey").cast("string")
-    return (
-        read_table(spark, folder, "part")
-        .where(size < 40)
-        .select(
-            F.when(size == 3, F.concat(key, F.lit("x"))).otherwise(key).alias("appid"),
-            F.when(size != 4, F.col("p_name")).alias("name"),
-            F.when(size == 1, "")
-            .when(size == 2, "free")
-            .otherwise(F.col("p_retailprice").cast("string"))
-            .alias("price"),
-        )
+    return read_table(spark, folder, "part").select(
+        F.when((size == 3) | (size >= 40), F.concat(key, F.lit("x"))).otherwise(key).alias("appid"),
+        F.when(size != 4, F.col("p_name")).alias("name"),
+        F.when(size == 1, "")
+        .when(size == 2, "free")
+        .otherwise(F.col("p_retailprice").cast("string"))
+        .alias("price"),
     )
 
 
@@ -121,22 +117,27 @@ def customer_metadata(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-VECTOR_WIDTH = 64
+def vector_columns(width: int) -> list[str]:
+    return [f"x{i}" for i in range(width)]
 
 
-def vector_columns() -> list[str]:
-    return [f"x{i}" for i in range(VECTOR_WIDTH)]
+def embedding_features(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
+    """Embeddings as one double column per slot, and the columns.
 
-
-def embedding_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Embeddings as one double column per slot."""
+    The first vector gives the width; a vector of another width fails the query.
+    """
+    table = read_table(spark, folder, "embeddings")
     vector = F.col("embedding")
-    return read_table(spark, folder, "embeddings").select(
-        "vec_id",
-        *[vector[i].cast("double").alias(name) for i, name in enumerate(vector_columns())],
+    first = table.select(F.size(vector)).first()
+    width = first[0] if first else 0
+    even = F.when(F.size(vector) == width, vector).otherwise(
+        F.raise_error(F.concat(F.lit(f"vectors of {width} and "), F.size(vector), F.lit(" slots")))
     )
+    names = vector_columns(width)
+    slots = [F.get(F.col("v"), F.lit(i)).cast("double").alias(name) for i, name in enumerate(names)]
+    return table.select("vec_id", even.alias("v")).select("vec_id", *slots), names
 
 
-def vector_centers(k: int = 3) -> list[list[float]]:
+def vector_centers(width: int, k: int = 3) -> list[list[float]]:
     """Centers by rule: slot i of center j is -0.5, 0 or 0.5."""
-    return [[0.5 * ((i + j) % 3 - 1) for i in range(VECTOR_WIDTH)] for j in range(k)]
+    return [[0.5 * ((i + j) % 3 - 1) for i in range(width)] for j in range(k)]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from cohortmill import fixed_values as fixed
 from cohortmill.plans import bindings
-from cohortmill.plans.bindings import LINE_CENTERS, USER_CENTERS, VECTOR_WIDTH, vector_centers
+from cohortmill.plans.bindings import LINE_CENTERS, USER_CENTERS
 
 ORACLES: dict[str, str] = {}
 
@@ -45,11 +45,11 @@ CLEAN_EVENTS = """clean_events AS (
   WHERE app_id IS NOT NULL AND playtime_forever BETWEEN 0 AND 2700)"""
 
 RAW_METADATA = """raw_metadata AS (
-  SELECT CAST(p_partkey AS VARCHAR) || CASE WHEN p_size = 3 THEN 'x' ELSE '' END AS appid,
+  SELECT CAST(p_partkey AS VARCHAR) || CASE WHEN p_size = 3 OR p_size >= 40 THEN 'x' ELSE '' END AS appid,
          CASE WHEN p_size <> 4 THEN p_name END AS name,
          CASE WHEN p_size = 1 THEN '' WHEN p_size = 2 THEN 'free'
               ELSE CAST(p_retailprice AS VARCHAR) END AS price
-  FROM part WHERE p_size < 40)"""
+  FROM part)"""
 
 REPEATED_METADATA = """repeated_metadata AS (
   SELECT * FROM raw_metadata
@@ -344,11 +344,35 @@ ORACLES["silhouette_fixed"] = (
     stack(*TO_SCORED, SILHOUETTE)
     + f"SELECT {half_up('silhouette', 6)} AS silhouette FROM silhouettes"
 )
-ORACLES["kmeans_checks"] = stack(*TO_FEATURES) + """
-SELECT COUNT(*) AS assigned_rows, CAST(3 AS INTEGER) AS highest_cluster,
-       CAST(0 AS INTEGER) AS lowest_cluster, CAST(0 AS BIGINT) AS not_nearest,
-       TRUE AS cost_in_bounds
+_FIT_HOLDS = "TRUE AS centers_are_means, TRUE AS moved_centers_cost_more"
+ORACLES["kmeans_checks"] = stack(*TO_FEATURES) + f"""
+SELECT COUNT(*) AS assigned_rows, CAST(4 AS BIGINT) AS filled_clusters, {_FIT_HOLDS}
 FROM feature_table"""
+ORACLES["k_sweep_checks"] = stack(*TO_FEATURES) + f"""
+SELECT CAST(k AS INTEGER) AS K, (SELECT COUNT(*) FROM feature_table) AS assigned_rows, {_FIT_HOLDS},
+       TRUE AS cost_is_right, TRUE AS silhouette_in_range
+FROM range({min(fixed.SWEEP_K)}, {max(fixed.SWEEP_K) + 1}) AS t(k)"""
+
+
+def fixed_sweep(ks=(2, 3, 4)) -> str:
+    """The sweep over the first K given centers: cost and pairwise silhouette of each."""
+    rows = " UNION ALL ".join(
+        f"SELECT CAST({k} AS INTEGER) AS K, * FROM (WITH {nearest(LINE_CENTERS[:k], SCALED_COLUMNS)}, {SILHOUETTE} "
+        f"SELECT {half_up('(SELECT SUM(d2) FROM scored)', 6)} AS WSSSE_Cost, "
+        f"{half_up('(SELECT silhouette FROM silhouettes)', 6)} AS Silhouette_Score)"
+        for k in ks
+    )
+    return f"sweep AS ({rows})"
+
+
+_BEST = "SELECT * FROM sweep ORDER BY Silhouette_Score DESC, K LIMIT 1"
+ORACLES["sweep_fixed"] = stack(*TO_SCALED, fixed_sweep()) + "SELECT * FROM sweep"
+ORACLES["elbow_read_back"] = ORACLES["sweep_fixed"]
+ORACLES["best_k_fixed"] = stack(*TO_SCALED, fixed_sweep()) + _BEST
+ORACLES["elbow_fixed"] = stack(*TO_SCALED, fixed_sweep(), f"best AS ({_BEST})") + " UNION ALL ".join(
+    f"SELECT s.K, '{m}' AS metric, s.{m} AS value, s.K = best.K AS is_best FROM sweep s, best"
+    for m in ("WSSSE_Cost", "Silhouette_Score")
+)
 
 # --- cluster profiles -----------------------------------------------------------
 
@@ -361,6 +385,9 @@ ORACLES["cluster_share"] = (
 )
 ORACLES["cluster_stats"] = stack(*TO_STATS) + "SELECT * FROM stats"
 
+ORACLES["sizes_read_back"] = ORACLES["cluster_sizes"]
+ORACLES["statistics_read_back"] = ORACLES["cluster_stats"]
+
 ORACLES["cluster_contrast"] = stack(*TO_STATS, MEANS) + f"""
 SELECT m.feature, m.cluster_id, m.mean, l.cluster_id AS lowest_cluster,
        {half_up("m.mean / NULLIF(l.mean, 0)", 4)} AS ratio_to_lowest
@@ -401,14 +428,17 @@ def _text(position: int) -> str:
     return f"CASE label {cases} END"
 
 
+_DESCRIPTION = """'Means: rating ' || CAST(avg_rating_percent AS VARCHAR) || ' %, price '
+       || CAST(avg_price AS VARCHAR) || ', reviews ' || CAST(avg_popularity_reviews AS VARCHAR)
+       || ', hours ' || CAST(avg_playtime_hours AS VARCHAR)"""
 ORACLES["cluster_labels"] = stack(*TO_STATS, LABELS) + f"""
-SELECT cluster_id, count, label, {_text(0)} AS name, {_text(1)} AS short_name,
-       {_text(2)} AS description
-FROM labels_by_rule"""
+SELECT l.cluster_id, l.count, label, {_text(0)} AS name, {_text(1)} AS short_name,
+       {_DESCRIPTION} AS description
+FROM labels_by_rule l JOIN stats ON l.cluster_id = stats.cluster_id"""
 
 ORACLES["representatives"] = stack(*TO_SCORED) + f"""
 SELECT cluster_id, app_id, game_name, {half_up("d2", 6)} AS d2, place FROM (
-  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY cluster_id ORDER BY d2, app_id) AS INTEGER) AS place
+  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY cluster_id ORDER BY d2, app_id, game_name) AS INTEGER) AS place
   FROM scored) WHERE place <= 5"""
 
 # --- charts, previews and samples -----------------------------------------------
@@ -437,9 +467,9 @@ _BARS = "bars AS (\n  " + " UNION ALL ".join(
 ORACLES["feature_bar_chart"] = stack(*TO_STATS, _BARS) + """
 SELECT cluster_id, metric, value,
        CASE WHEN value > 1000 THEN format('{:,.0f}', value)
-            WHEN value > 10 THEN format('{:,.1f}', value)
-            WHEN unit = '$' THEN '$' || format('{:,.2f}', value)
-            ELSE format('{:,.1f}', value) END AS caption
+            WHEN value > 10 THEN format('{:.1f}', value)
+            WHEN unit = '$' THEN '$' || format('{:.2f}', value)
+            ELSE format('{:.1f}', value) END AS caption
 FROM bars"""
 
 ORACLES["share_chart"] = stack(*TO_STATS, SIZES, LABELS) + f"""
@@ -461,6 +491,13 @@ ORACLES["sample_for_plot"] = stack(*TO_SCORED) + f"""
 SELECT {CLUSTERED} FROM scored
 ORDER BY md5(CAST(app_id AS VARCHAR) || ':{fixed.SEED}'), app_id LIMIT 500"""
 
+ORACLES["sample_repeated"] = (
+    stack(*_REPEATED, JOINED, FEATURE_TABLE)
+    + f"""SELECT * FROM feature_table
+ORDER BY md5(CAST(app_id AS VARCHAR) || ':{fixed.SEED}' || ':' || game_name || ':' || CAST(price AS VARCHAR)),
+         app_id, game_name, price LIMIT 300"""
+)
+
 # --- exports --------------------------------------------------------------------
 
 _SUMMARY = f"""summary AS (
@@ -468,7 +505,7 @@ _SUMMARY = f"""summary AS (
          CAST(4 AS INTEGER) AS optimal_k,
          {half_up("(SELECT SUM(d2) FROM scored)", 2)} AS wssse_cost,
          {half_up("(SELECT silhouette FROM silhouettes)", 4)} AS silhouette_score,
-         '{", ".join(fixed.FEATURE_TITLES)}' AS features)"""
+         '{", ".join(fixed.FEATURE_TITLES.values())}' AS features)"""
 
 ORACLES["metrics_summary"] = stack(*TO_SCORED, SILHOUETTE, _SUMMARY) + "SELECT * FROM summary"
 
@@ -480,7 +517,7 @@ _FACTS = (
     "'Algorithm: K-Means (Spark MLlib)'",
     "'Selected K: ' || CAST(optimal_k AS VARCHAR)",
     "'Features: ' || features",
-    "'Scaling: log1p + standardisation (mean 0, deviation 1)'",
+    "'Scaling: log1p of price, popularity, playtime_hours; mean 0, deviation 1'",
     "'WSSSE cost: ' || format('{:,.2f}', wssse_cost)",
     "'Silhouette: ' || format('{:,.4f}', silhouette_score)",
     f"'{'=' * 70}'",
@@ -492,14 +529,14 @@ _STAT_COLUMNS = ["cluster_id", "count"] + [
 ORACLES["metrics_report"] = (
     stack(*TO_STATS, SIZES, SILHOUETTE, _SUMMARY)
     + " UNION ALL ".join(
-        f"SELECT CAST({i} AS INTEGER) AS line_no, {fact} AS line FROM summary"
+        f"SELECT CAST({i} AS BIGINT) AS line_no, {fact} AS line FROM summary"
         for i, fact in enumerate(_FACTS)
     )
-    + """ UNION ALL SELECT CAST(1000 + cluster_id AS INTEGER),
+    + """ UNION ALL SELECT CAST(10000000000 + cluster_id AS BIGINT),
       lpad(CAST(cluster_id AS VARCHAR), 10, ' ') || ' ' || lpad(CAST(game_count AS VARCHAR), 12, ' ')
       FROM sizes"""
-    + f" UNION ALL SELECT CAST(100000 AS INTEGER), '{' '.join(_STAT_COLUMNS)}'"
-    + " UNION ALL SELECT CAST(100001 + cluster_id AS INTEGER), "
+    + f" UNION ALL SELECT CAST(20000000000 AS BIGINT), '{' '.join(_STAT_COLUMNS)}'"
+    + " UNION ALL SELECT CAST(20000000001 + cluster_id AS BIGINT), "
     + " || ' ' || ".join(f"CAST({c} AS VARCHAR)" for c in _STAT_COLUMNS)
     + " FROM stats"
 )
@@ -509,10 +546,28 @@ def _json_object(columns: list[str]) -> str:
     return "CAST(json_object(" + ", ".join(f"'{c}', {c}" for c in columns) + ") AS VARCHAR)"
 
 
-ORACLES["dashboard_json"] = stack(*TO_STATS) + f"""
-SELECT 'games' AS section, {_json_object(CLUSTERED.split(", "))} AS payload FROM scored
-UNION ALL
-SELECT 'statistics', {_json_object(_STAT_COLUMNS)} FROM stats"""
+_REPRESENTATIVE = """near AS (
+  SELECT cluster_id, LIST(game_name ORDER BY place) AS representative FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY cluster_id ORDER BY d2, app_id, game_name) AS place FROM scored)
+  WHERE place <= 5 GROUP BY cluster_id)"""
+_META = f"""meta AS (
+  SELECT l.cluster_id, {_text(0)} AS name, {_text(1)} AS short_name, {_DESCRIPTION} AS description, representative
+  FROM labels_by_rule l JOIN stats ON l.cluster_id = stats.cluster_id JOIN near ON l.cluster_id = near.cluster_id)"""
+_TITLES = "[" + ", ".join(f"'{t}'" for t in fixed.FEATURE_TITLES.values()) + "]"
+_MODEL = f"""model AS (
+  SELECT format('{{:,}}', raw_rows) AS raw_reviews, entities AS clustered_games, optimal_k, wssse_cost,
+         silhouette_score, {_TITLES} AS features FROM summary)"""
+ORACLES["dashboard_json"] = (
+    stack(*TO_STATS, fixed_sweep(), LABELS, _REPRESENTATIVE, _META, SILHOUETTE, _SUMMARY, _MODEL)
+    + f"SELECT 'games' AS section, {_json_object(CLUSTERED.split(', '))} AS payload FROM scored"
+    + f" UNION ALL SELECT 'statistics', {_json_object(_STAT_COLUMNS)} FROM stats"
+    + f" UNION ALL SELECT 'elbow', {_json_object(['K', 'WSSSE_Cost', 'Silhouette_Score'])} FROM sweep"
+    + " UNION ALL SELECT 'cluster_meta', "
+    + _json_object(["cluster_id", "name", "short_name", "description", "representative"])
+    + " FROM meta UNION ALL SELECT 'model_summary', "
+    + _json_object(["raw_reviews", "clustered_games", "optimal_k", "wssse_cost", "silhouette_score", "features"])
+    + " FROM model"
+)
 
 _MANIFEST = (
     ("cluster_sizes", "(SELECT COUNT(DISTINCT cluster_id) FROM scored)"),
@@ -547,6 +602,9 @@ ORACLES["quality"] = stack(*TO_SCORED) + " UNION ALL ".join(
     for name, count in _CHECKS
 )
 
+ORACLES["score_unusable"] = stack(*TO_SCORED) + """
+SELECT app_id, CASE WHEN app_id % 5 = 4 THEN cluster_id END AS cluster_id FROM scored"""
+
 # --- users ----------------------------------------------------------------------
 
 USER_EVENTS = """clean_events AS (
@@ -571,16 +629,12 @@ ORACLES["user_segment_stats"] = stack(*TO_USER_SCORES, STATISTICS) + "SELECT * F
 
 # --- wide vectors ---------------------------------------------------------------
 
-SLOTS = f"""slots AS (
+SLOTS = """slots AS (
   SELECT vec_id, i, CAST(embedding[i + 1] AS DOUBLE) AS x
-  FROM embeddings, (SELECT UNNEST(range({VECTOR_WIDTH})) AS i))"""
+  FROM (SELECT vec_id, embedding, UNNEST(range(len(embedding))) AS i FROM embeddings))"""
 SLOT_PARAMS = "params AS (SELECT i, AVG(x) AS m, STDDEV_SAMP(x) AS s FROM slots GROUP BY i)"
-_CENTER_ROWS = ", ".join(
-    f"({j}, {i}, CAST({x!r} AS DOUBLE))"
-    for j, center in enumerate(vector_centers())
-    for i, x in enumerate(center)
-)
-VECTOR_SCORED = f"""centers(c, i, point) AS (VALUES {_CENTER_ROWS}),
+VECTOR_SCORED = """centers AS (
+  SELECT c, i, 0.5 * ((i + c) % 3 - 1) AS point FROM range(3) AS t(c), (SELECT DISTINCT i FROM slots)),
 scaled_slots AS (
   SELECT vec_id, i, (x - m) * CASE WHEN s = 0 THEN 0 ELSE 1 / s END AS z
   FROM slots JOIN params USING (i)),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import partial
 from multiprocessing.pool import ThreadPool
+from typing import Literal
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +14,19 @@ from pyspark.sql import functions as F
 from cohortmill import fixed_values as fixed
 from cohortmill.operators import cleaning, entities, features, metadata, profile, sinks, summary
 from cohortmill.operators.charts import elbow_series, feature_bars, scatter_rows, share_slices
-from cohortmill.operators.clustering import best_k, k_sweep, select_k
-from cohortmill.operators.quality import cross_checks, quality_checks
+from cohortmill.functions.geometry import all_usable
+from cohortmill.operators.clustering import (
+    ROWS_PER_PARTITION,
+    SWEEP_PARALLELISM,
+    best_k,
+    k_sweep,
+    select_k,
+)
+from cohortmill.operators.quality import cross_checks, quality_checks, usable_check
 from cohortmill.operators.sampling import plot_sample
-from cohortmill.operators.scaling import fit_standardizer, standardize
+from cohortmill.operators.scaling import fit_standardizer, scaled_names, standardize
 from cohortmill.operators.scoring import SegmentModel, clustered_table, make_model
-from cohortmill.storage import materialize
+from cohortmill.storage import Scratch, materialize
 
 EXPORT_THREADS = 8
 
@@ -37,7 +45,9 @@ class Settings:
     k: int | None = None  # None: the K with the best silhouette
     seed: int = fixed.SEED
     max_iterations: int = fixed.MAX_ITERATIONS
-    parallelism: int | None = None  # fits that run at a time; None: all
+    parallelism: int = SWEEP_PARALLELISM  # fits that run at a time
+    rows_per_partition: int = ROWS_PER_PARTITION  # of a fit; its starting points follow from it
+    unusable: Literal["skip", "error"] = "skip"  # rows with a NULL, NaN or infinite feature
     statistics_accuracy: int = profile.STATISTICS_ACCURACY
     representatives: int = 5
     sample_rows: int = fixed.PLOT_SAMPLE_ROWS
@@ -46,7 +56,10 @@ class Settings:
 
 @dataclass
 class Segmentation:
-    """The result tables.  Entity-level ones are lazy reads of materialised tables."""
+    """The result tables.  Entity-level ones are lazy reads of tables that ``scratch`` owns.
+
+    Call ``release`` when they are no longer needed.
+    """
 
     model: SegmentModel
     k: int
@@ -57,6 +70,12 @@ class Segmentation:
     sizes: DataFrame
     statistics: DataFrame
     labels: DataFrame
+    unusable: DataFrame
+    scratch: Scratch
+
+    def release(self) -> None:
+        """Remove the intermediate tables; the result tables cannot be read after that."""
+        self.scratch.release()
 
 
 def entity_feature_table(
@@ -75,42 +94,56 @@ def segment(events: DataFrame, meta: DataFrame, settings: Settings = Settings())
 
     The audited aggregate is written to shared storage as soon as it exists; the
     row accounting, the feature table and all iterations start from that table,
-    so a lost executor never sends the job back to the events.
+    so a lost executor never sends the job back to the events.  Entities with an
+    unusable feature are counted, and left out or fatal by ``settings.unusable``.
+    If the run fails, its intermediate tables are removed.
     """
-    spark = events.sparkSession
+    if not settings.ks or min(settings.ks) < 2:
+        raise ValueError(f"a sweep needs K of 2 and more, not {settings.ks}")
+    if settings.k is not None and settings.k not in settings.ks:
+        raise ValueError(f"K={settings.k} is not part of the sweep {sorted(settings.ks)}")
+    with Scratch(events.sparkSession) as scratch:
+        return _segment(events, meta, settings, scratch)
+
+
+def _segment(events: DataFrame, meta: DataFrame, settings: Settings, scratch: Scratch) -> Segmentation:
     typed = cleaning.typed_events(events, settings.events, settings.rules)
     audited = materialize(
-        entities.audited_entity_aggregate(typed, settings.rules), "entity-aggregate"
+        entities.audited_entity_aggregate(typed, settings.rules), "entity-aggregate", scratch
     )
     per_entity = entities.entity_features(entities.kept_entities(audited))
     joined = metadata.attach_metadata(
         per_entity, cleaning.clean_metadata(meta, settings.metadata), settings.duplicates
     )
-    table = materialize(features.feature_table(joined, settings.min_popularity), "feature-table")
+    table = materialize(features.feature_table(joined, settings.min_popularity), "feature-table", scratch)
 
     names = features.feature_names(settings.features)
     inputs = features.with_features(table, settings.features)
+    unusable = materialize(
+        inputs.agg(F.count_if(~all_usable(names)).alias("unusable_rows")), "unusable", scratch
+    )
+    if settings.unusable == "error" and (n := unusable.first()[0]):
+        raise ValueError(f"{n} rows have a feature that is NULL, NaN or infinite")
     scaler = fit_standardizer(inputs, names)
-    scaled = standardize(inputs, scaler)
-    scaled_columns = [c for c in scaled.columns if c.startswith("scaled_")]
     sweep, centers = k_sweep(
-        scaled,
-        scaled_columns,
+        standardize(inputs, scaler),
+        scaled_names(names),
         keys=("app_id", "game_name", "price"),
         ks=settings.ks,
         seed=settings.seed,
         max_iterations=settings.max_iterations,
         parallelism=settings.parallelism,
+        rows_per_partition=settings.rows_per_partition,
     )
     k = select_k(centers, sweep, settings.k)
     model = make_model(settings.features, scaler.means, scaler.deviations, centers[k])
 
-    scored = materialize(model.score(table), "scored-table")
+    scored = materialize(model.score(table, "skip"), "scored-table", scratch)
     clustered = clustered_table(scored)
     # One row per cluster each: written once, then shared by every later table.
-    sizes = materialize(profile.cluster_sizes(clustered), "sizes").orderBy("cluster_id")
+    sizes = materialize(profile.cluster_sizes(clustered), "sizes", scratch).orderBy("cluster_id")
     statistics = materialize(
-        profile.cluster_statistics(clustered, accuracy=settings.statistics_accuracy), "statistics"
+        profile.cluster_statistics(clustered, accuracy=settings.statistics_accuracy), "statistics", scratch
     ).orderBy("cluster_id")
     return Segmentation(
         model=model,
@@ -122,26 +155,38 @@ def segment(events: DataFrame, meta: DataFrame, settings: Settings = Settings())
         sizes=sizes,
         statistics=statistics,
         labels=profile.cluster_labels(statistics),
+        unusable=unusable,
+        scratch=scratch,
     )
 
 
 def label_map(labels: DataFrame) -> dict[int, str]:
     """Cluster id to short name; one entry per cluster."""
-    texts = profile.label_texts(labels)
-    return {r["cluster_id"]: r["short_name"] for r in texts.collect()}
-
-
-def cluster_meta(result: Segmentation, settings: Settings = Settings()) -> DataFrame:
-    """(cluster_id, name, short_name, description, representative)."""
-    nearest = profile.representatives(result.scored, settings.representatives)
-    # ``representatives`` leaves at most that many rows per cluster.
-    listed = nearest.groupBy("cluster_id").agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("place", "game_name"))), lambda r: r["game_name"]
-        ).alias("representative")
-    )
-    texts = profile.label_texts(result.labels).drop("count", "label")
-    return texts.join(listed, "cluster_id", "left")
+    return {r["cluster_id"]: fixed.LABEL_TEXTS[r["label"]][1] for r in labels.collect()}
+
+
+def dashboard_tables(
+    clustered: DataFrame,
+    statistics: DataFrame,
+    sweep: DataFrame,
+    labels: DataFrame,
+    scored: DataFrame,
+    one_row: DataFrame,
+    n_representatives: int = 5,
+) -> dict[str, DataFrame]:
+    """The five sections of the dashboard."""
+    return {
+        "games": clustered,
+        "statistics": statistics,
+        "elbow": sweep,
+        "cluster_meta": profile.cluster_meta(labels, statistics, scored, n_representatives),
+        "model_summary": summary.model_summary(one_row),
+    }
+
+
+def _distinct(settings: Settings) -> tuple[str, ...]:
+    """Columns that tell rows of one entity apart, where metadata rows may repeat its key."""
+    return ("game_name", "price") if settings.duplicates == "keep" else ()
 
 
 def export(
@@ -162,12 +207,14 @@ def export(
         "share_slices": share_slices(profile.cluster_share(result.sizes), result.labels),
         "quality_checks": quality_checks(result.clustered, result.k, settings.min_popularity).unionByName(
             cross_checks(result.clustered, result.sizes, result.sweep, result.k)
-        ),
+        ).unionByName(usable_check(result.unusable)),
     }
     labelled = profile.with_labels(result.clustered, label_map(result.labels))
     large = {
         "clustered_games": result.clustered,
-        "plot_sample": plot_sample(result.clustered, settings.sample_rows, settings.seed),
+        "plot_sample": plot_sample(
+            result.clustered, settings.sample_rows, settings.seed, distinct=_distinct(settings)
+        ),
         "scatter_rows": scatter_rows(labelled, words=settings.notable_words),
     }
     one_row = summary.metrics_summary(
@@ -176,20 +223,18 @@ def export(
         result.k,
         chosen.select("WSSSE_Cost").scalar(),
         chosen.select("Silhouette_Score").scalar(),
+        settings.features,
+    )
+    report = summary.report_lines(one_row, result.sizes, result.statistics, title, settings.features)
+    dashboard = dashboard_tables(
+        result.clustered, result.statistics, result.sweep, result.labels, result.scored, one_row,
+        settings.representatives,
     )
-    report = summary.report_lines(one_row, result.sizes, result.statistics, title)
-    dashboard = {
-        "games": (result.clustered, False),
-        "statistics": (result.statistics, True),
-        "elbow": (result.sweep, True),
-        "cluster_meta": (cluster_meta(result, settings), True),
-        "model_summary": (one_row, True),
-    }
     writes = [partial(sinks.write_csv, t, f"{folder}/{name}") for name, t in large.items()]
     writes += [partial(sinks.write_csv, t, f"{folder}/{name}", True) for name, t in small.items()]
     writes += [
-        partial(sinks.write_json_lines, t, f"{folder}/dashboard/{name}", single)
-        for name, (t, single) in dashboard.items()
+        partial(sinks.write_json_lines, t, f"{folder}/dashboard/{name}", name != "games")
+        for name, t in dashboard.items()
     ]
     writes.append(partial(sinks.write_lines, report, f"{folder}/metrics_summary"))
     writes.append(partial(result.model.save, spark, f"{folder}/model"))

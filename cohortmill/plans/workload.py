@@ -25,8 +25,9 @@ from cohortmill.operators.clustering import (
     kmeans,
     stable_layout,
 )
-from cohortmill.operators.evaluation import assign, silhouette, wssse
+from cohortmill.operators.evaluation import assign, fit_checks, silhouette, sweep_scores, wssse
 from cohortmill.operators.features import feature_names, with_features
+from cohortmill.operators.features import feature_table as feature_rows
 from cohortmill.operators.quality import column_profile, quality_checks
 from cohortmill.operators.sampling import plot_sample, preview
 from cohortmill.operators.scaling import (
@@ -40,12 +41,16 @@ from cohortmill.operators.scoring import SegmentModel, clustered_table, make_mod
 from cohortmill.plans import bindings
 from cohortmill.plans.segmentation import (
     Settings,
+    dashboard_tables,
     entity_feature_table,
     export,
     segment,
 )
 from cohortmill.sources.tables import (
     CLUSTERED_SCHEMA,
+    SIZES_SCHEMA,
+    STATISTICS_SCHEMA,
+    SWEEP_SCHEMA,
     read_csv_by_header,
     read_result_csv,
     read_table,
@@ -324,8 +329,8 @@ def silhouette_fixed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fitted_lines(spark: SparkSession, folder: str, k: int = 4) -> tuple[DataFrame, list]:
-    """Materialised scaled rows and the centers of a fit on their stable layout."""
-    scaled = materialize(scaled_lines(spark, folder), "scaled")
+    """Scaled rows and the centers of a fit on their stable layout."""
+    scaled = scaled_lines(spark, folder)
     layout = stable_layout(scaled.select(*KEYS, *SCALED), KEYS)
     centers = center_lists(kmeans(k).fit(as_vectors(layout, SCALED)))
     return scaled, centers
@@ -339,25 +344,13 @@ def kmeans_assign(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def kmeans_checks(spark: SparkSession, folder: str) -> DataFrame:
-    """What must hold for any K-Means result, measured on a real fit."""
+    """What a finished fit fulfils and unfitted centers do not."""
     scaled, centers = fitted_lines(spark, folder)
-    assigned = assign(scaled, SCALED, centers)
-    distances = [
-        sum(((F.col(c) - F.lit(x)) * (F.col(c) - F.lit(x)) for c, x in zip(SCALED, center)), F.lit(0.0))
-        for center in centers
-    ]
-    bound = (F.count(F.lit(1)) - 1) * len(SCALED)
-    return assigned.agg(
-        F.count(F.lit(1)).alias("assigned_rows"),
-        F.max("cluster_id").cast("int").alias("highest_cluster"),
-        F.min("cluster_id").cast("int").alias("lowest_cluster"),
-        F.count_if(F.col("d2") > F.least(*distances) + 1e-9).alias("not_nearest"),
-        ((F.sum("d2") >= 0) & (F.sum("d2") <= bound)).alias("cost_in_bounds"),
-    )
+    return fit_checks(assign(scaled, SCALED, centers), SCALED, centers)
 
 
 def swept_lines(spark: SparkSession, folder: str) -> DataFrame:
-    sweep, _ = k_sweep(materialize(scaled_lines(spark, folder), "scaled"), SCALED, KEYS)
+    sweep, _ = k_sweep(scaled_lines(spark, folder), SCALED, KEYS)
     return sweep
 
 
@@ -366,6 +359,32 @@ def k_sweep_scores(spark: SparkSession, folder: str) -> DataFrame:
     return swept_lines(spark, folder)
 
 
+@query
+def k_sweep_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """For each K: its cost against that of an assignment, its silhouette's range, its centers."""
+    scaled = scaled_lines(spark, folder)
+    sweep, centers = k_sweep(scaled, SCALED, KEYS)
+    checked = None
+    for k in sorted(centers):
+        assigned = assign(scaled, SCALED, centers[k])
+        row = fit_checks(assigned, SCALED, centers[k]).select(
+            F.lit(k).alias("K"),
+            "assigned_rows",
+            "centers_are_means",
+            "moved_centers_cost_more",
+            wssse(assigned).scalar().alias("again"),
+        )
+        checked = row if checked is None else checked.unionByName(row)
+    return sweep.join(checked, "K").select(
+        "K",
+        "assigned_rows",
+        "centers_are_means",
+        "moved_centers_cost_more",
+        (F.abs(F.col("WSSSE_Cost") - F.col("again")) < 1e-6 * F.col("again")).alias("cost_is_right"),
+        F.col("Silhouette_Score").between(-1, 1).alias("silhouette_in_range"),
+    )
+
+
 @query
 def best_k_row(spark: SparkSession, folder: str) -> DataFrame:
     return best_k(swept_lines(spark, folder))
@@ -377,6 +396,44 @@ def elbow_chart(spark: SparkSession, folder: str) -> DataFrame:
     return elbow_series(sweep, best_k(sweep))
 
 
+FIXED_KS = (2, 3, 4)
+
+
+def fixed_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    """A sweep whose model for K are the first K given centers."""
+    models = {k: bindings.LINE_CENTERS[:k] for k in FIXED_KS}
+    found = sweep_scores(scaled_lines(spark, folder), SCALED, models)
+    return rounded(spark.createDataFrame(found, SWEEP_SCHEMA), "WSSSE_Cost", "Silhouette_Score")
+
+
+@query
+def sweep_fixed(spark: SparkSession, folder: str) -> DataFrame:
+    return fixed_sweep(spark, folder)
+
+
+@query
+def best_k_fixed(spark: SparkSession, folder: str) -> DataFrame:
+    return best_k(fixed_sweep(spark, folder))
+
+
+@query
+def elbow_fixed(spark: SparkSession, folder: str) -> DataFrame:
+    sweep = fixed_sweep(spark, folder)
+    return elbow_series(sweep, best_k(sweep))
+
+
+@query
+def elbow_read_back(spark: SparkSession, folder: str) -> DataFrame:
+    return read_back(spark, fixed_sweep(spark, folder), SWEEP_SCHEMA)
+
+
+def read_back(spark: SparkSession, table: DataFrame, schema) -> DataFrame:
+    """A result table written as CSV and read again."""
+    path = scratch_path(spark, "read-back")
+    sinks.write_csv(table, path, single_file=True)
+    return read_result_csv(spark, path, schema)
+
+
 # --- cluster profiles -----------------------------------------------------------
 
 
@@ -395,6 +452,16 @@ def cluster_stats(spark: SparkSession, folder: str) -> DataFrame:
     return line_statistics(spark, folder)
 
 
+@query
+def sizes_read_back(spark: SparkSession, folder: str) -> DataFrame:
+    return read_back(spark, profile.cluster_sizes(clustered_lines(spark, folder)), SIZES_SCHEMA)
+
+
+@query
+def statistics_read_back(spark: SparkSession, folder: str) -> DataFrame:
+    return read_back(spark, line_statistics(spark, folder), STATISTICS_SCHEMA)
+
+
 @query
 def cluster_contrast(spark: SparkSession, folder: str) -> DataFrame:
     return profile.cluster_contrast(line_statistics(spark, folder))
@@ -412,7 +479,8 @@ def cluster_ranks(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def cluster_labels(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.label_texts(profile.cluster_labels(line_statistics(spark, folder)))
+    statistics = materialize(line_statistics(spark, folder), "statistics")
+    return profile.label_texts(profile.cluster_labels(statistics), statistics)
 
 
 @query
@@ -478,6 +546,15 @@ def sample_for_plot(spark: SparkSession, folder: str) -> DataFrame:
     return plot_sample(clustered_lines(spark, folder), n=500)
 
 
+@query
+def sample_repeated(spark: SparkSession, folder: str) -> DataFrame:
+    """A sample of rows where keys repeat: rows of one key are drawn one by one."""
+    per_entity = entities.entity_features(entity_agg(spark, folder))
+    repeated = cleaning.clean_metadata(bindings.repeated_part_metadata(spark, folder))
+    table = feature_rows(metadata.attach_metadata(per_entity, repeated, "keep"))
+    return plot_sample(table, n=300, distinct=("game_name", "price"))
+
+
 # --- exports --------------------------------------------------------------------
 
 
@@ -518,9 +595,17 @@ def metrics_report(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dashboard_json(spark: SparkSession, folder: str) -> DataFrame:
-    clustered = materialize(clustered_lines(spark, folder), "clustered")
-    statistics = profile.cluster_statistics(clustered, accuracy=LINES.statistics_accuracy)
-    return summary.dashboard_sections({"games": clustered, "statistics": statistics})
+    """All five sections, on the given centers."""
+    scored = materialize(scored_lines(spark, folder), "scored")
+    clustered = clustered_table(scored)
+    statistics = materialize(
+        profile.cluster_statistics(clustered, accuracy=LINES.statistics_accuracy), "statistics"
+    )
+    one_row = one_row_summary(spark, folder, clustered, scored)
+    labels = profile.cluster_labels(statistics)
+    return summary.dashboard_sections(
+        dashboard_tables(clustered, statistics, fixed_sweep(spark, folder), labels, scored, one_row)
+    )
 
 
 @query
@@ -552,6 +637,23 @@ def score_batch(spark: SparkSession, folder: str) -> DataFrame:
     return score_rows(table, fixed_model(table, LINES, bindings.LINE_CENTERS))
 
 
+@query
+def score_unusable(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows whose price is missing, no number, infinite or below what the logarithm takes get no cluster."""
+    table = materialize(line_features(spark, folder), "feature-table")
+    model = fixed_model(table, LINES, bindings.LINE_CENTERS)
+    kind = F.pmod("app_id", F.lit(5))
+    price = F.col("price")
+    spoilt = (
+        F.when(kind == 0, F.lit(None).cast("double"))
+        .when(kind == 1, F.lit(float("nan")))
+        .when(kind == 2, F.lit(float("inf")))
+        .when(kind == 3, F.lit(-1.0))
+        .otherwise(price)
+    )
+    return score_rows(table.withColumn("price", spoilt), model).select("app_id", "cluster_id")
+
+
 @query
 def score_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The same rows, arriving as files, scored by a streaming query that runs to the end."""
@@ -603,35 +705,37 @@ def user_segment_stats(spark: SparkSession, folder: str) -> DataFrame:
 # --- third binding: wide vectors ------------------------------------------------
 
 
-def scaled_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    wide = bindings.embedding_features(spark, folder)
-    return standardize(wide, fit_standardizer(wide, bindings.vector_columns()))
+def scaled_vectors(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
+    wide, names = bindings.embedding_features(spark, folder)
+    return standardize(wide, fit_standardizer(wide, names)), scaled_names(names)
+
+
+def assigned_vectors(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
+    scaled, columns = scaled_vectors(spark, folder)
+    return assign(scaled, columns, bindings.vector_centers(len(columns))), columns
 
 
 @query
 def vector_scaler_parameters(spark: SparkSession, folder: str) -> DataFrame:
-    wide = bindings.embedding_features(spark, folder)
-    return rounded(scaler_params(wide, bindings.vector_columns()), "mean", "deviation")
+    wide, names = bindings.embedding_features(spark, folder)
+    return rounded(scaler_params(wide, names), "mean", "deviation")
 
 
 @query
 def vector_segments(spark: SparkSession, folder: str) -> DataFrame:
-    columns = scaled_names(bindings.vector_columns())
-    assigned = assign(scaled_vectors(spark, folder), columns, bindings.vector_centers())
+    assigned, _ = assigned_vectors(spark, folder)
     return rounded(assigned.select("vec_id", "cluster_id", "d2"), "d2")
 
 
 @query
 def vector_silhouette(spark: SparkSession, folder: str) -> DataFrame:
-    columns = scaled_names(bindings.vector_columns())
-    assigned = assign(scaled_vectors(spark, folder), columns, bindings.vector_centers())
-    return rounded(silhouette(assigned, columns), "silhouette")
+    return rounded(silhouette(*assigned_vectors(spark, folder)), "silhouette")
 
 
 @query
 def vector_kmeans(spark: SparkSession, folder: str) -> DataFrame:
-    columns = scaled_names(bindings.vector_columns())
-    scaled = materialize(scaled_vectors(spark, folder), "scaled-vectors")
+    scaled, columns = scaled_vectors(spark, folder)
+    scaled = materialize(scaled, "scaled-vectors")
     sweep, _ = k_sweep(scaled, columns, keys=("vec_id",), ks=(2, 3, 4))
     return sweep
 
@@ -646,5 +750,9 @@ def full_run(spark: SparkSession, folder: str) -> DataFrame:
     result = segment(
         bindings.line_events(spark, folder), bindings.part_metadata(spark, folder), settings
     )
-    out = scratch_path(spark, "exports")
-    return export(result, out, settings).select("table", "rows")
+    try:
+        listing = export(result, scratch_path(spark, "exports"), settings).select("table", "rows")
+        # One row per exported table.
+        return spark.createDataFrame(listing.collect(), listing.schema)
+    finally:
+        result.release()

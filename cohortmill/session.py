@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Settings that hold at any scale.  The number of shuffle partitions is left to
-# adaptive execution: start wide, let it merge small partitions by size.
+# Settings that hold at any scale.
 BASE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -20,12 +19,17 @@ def get_session(
     master: str | None = None,
     settings: dict[str, str] | None = None,
     log_level: str = "WARN",
+    initial_partitions: int | None = None,
 ) -> SparkSession:
     """Get or create a session.
 
     ``master`` stays unset by default so that ``spark-submit`` decides; pass
-    ``local[*]`` for a single machine.
+    ``local[*]`` for a single machine.  ``initial_partitions`` is the width that shuffles
+    start with before adaptive execution merges; give it a few times the cores of a cluster.
     """
+    if initial_partitions is not None:
+        name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        settings = {name: str(initial_partitions), **(settings or {})}
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)

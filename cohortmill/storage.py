@@ -35,18 +35,48 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{application}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, scratch: Scratch | None = None) -> DataFrame:
     """Write ``df`` once to shared storage and continue from the written table.
 
     A lost executor then costs a re-read of this table, not a re-run of the scan
-    and shuffles behind it.
+    and shuffles behind it.  ``scratch`` owns the table if given.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = scratch.path(label) if scratch else scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Owns the intermediate tables of one run and removes them when it is released.
+
+    As a context manager it releases only if its block fails, so that results which
+    read those tables stay usable until their owner releases them.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def path(self, label: str) -> str:
+        self.paths.append(scratch_path(self.spark, label))
+        return self.paths[-1]
+
+    def release(self) -> None:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        configuration = self.spark.sparkContext._jsc.hadoopConfiguration()
+        while self.paths:
+            path = hadoop(self.paths.pop())
+            path.getFileSystem(configuration).delete(path, True)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, kind, value, trace) -> None:
+        if kind is not None:
+            self.release()
+
+
 @contextmanager
 def held(df: DataFrame) -> Iterator[DataFrame]:
     """Keep ``df`` in executor memory (spilling to disk) for the length of a block."""

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cohortmill.operators.scoring import SegmentModel, clustered_table
+from cohortmill.functions.geometry import all_usable
+from cohortmill.operators.scoring import SegmentModel, Unusable, clustered_table, treat_unusable
 
 
 def read_feature_stream(
@@ -20,15 +21,23 @@ def read_feature_stream(
     return reader.parquet(path)
 
 
-def score_rows(rows: DataFrame, model: SegmentModel | PipelineModel) -> DataFrame:
+def score_rows(
+    rows: DataFrame, model: SegmentModel | PipelineModel, unusable: Unusable = "null"
+) -> DataFrame:
     """Clustered rows of a batch or streaming table, from either form of the model.
 
+    ``unusable`` means the same for both, see ``SegmentModel.score``.
+
     The scoring keeps no state between rows: no watermark, no state store, and a
     restarted stream continues from its checkpoint alone.
     """
     if isinstance(model, SegmentModel):
-        return clustered_table(model.score(rows))
-    return clustered_table(model.transform(rows))
+        return clustered_table(model.score(rows, unusable))
+    assembler, *others = model.stages
+    # Kept as NaN by the assembler; the cluster that a later stage makes of that is taken back.
+    tolerant = PipelineModel([assembler.copy().setHandleInvalid("keep"), *others])
+    usable = all_usable(assembler.getInputCols())
+    return clustered_table(treat_unusable(tolerant.transform(rows), usable, unusable))
 
 
 def write_scored(

@@ -5,7 +5,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from cohortmill.operators import profile
+from cohortmill.operators import clustering, profile
 from cohortmill.operators.clustering import (
     as_vectors,
     best_k,
@@ -20,6 +20,7 @@ from cohortmill.operators.evaluation import (
     assign,
     cluster_sums,
     cost_from_sums,
+    fit_checks,
     silhouette,
     wssse,
 )
@@ -29,9 +30,11 @@ from cohortmill.operators.scaling import (
     scaled_names,
     standardize,
 )
-from cohortmill.operators.scoring import from_ml_stages
-from cohortmill.operators.features import with_features
+from cohortmill.operators.features import DEFAULT_FEATURES, with_features
+from cohortmill.operators.metadata import attach_metadata
+from cohortmill.operators.scoring import from_ml_stages, make_model
 from cohortmill.storage import materialize
+from cohortmill.streaming.scoring import score_rows
 
 COLUMNS = ["a", "b", "c"]
 SCALED = scaled_names(COLUMNS)
@@ -85,17 +88,80 @@ def test_tie_goes_to_the_lowest_id(spark):
         assert (row["cluster_id"], row["d2"]) == (0, 1.0)
 
 
-def test_wide_and_narrow_forms_agree(scaled, monkeypatch):
-    centers = [[0.5, 0.1, -0.2], [-1.0, 0.0, 0.3], [1.5, 1.5, 0.0]]
-    narrow = assign(scaled, SCALED, centers)
-    narrow_rows = sorted(map(tuple, narrow.select("app_id", "cluster_id", "d2").collect()))
-    narrow_score = silhouette(narrow, SCALED).first()[0]
-    monkeypatch.setattr("cohortmill.operators.evaluation.MAX_UNROLLED_TERMS", 1)
-    wide = assign(scaled, SCALED, centers)
-    wide_rows = sorted(map(tuple, wide.select("app_id", "cluster_id", "d2").collect()))
-    assert [r[:2] for r in narrow_rows] == [r[:2] for r in wide_rows]
-    assert all(abs(x[2] - y[2]) < 1e-9 for x, y in zip(narrow_rows, wide_rows))
-    assert abs(silhouette(wide, SCALED).first()[0] - narrow_score) < 1e-9
+@pytest.mark.parametrize("width", [3, 32, 33, 64])
+def test_one_form_for_every_width(spark, width):
+    """A NULL and a NaN are left out of the scaler, get no cluster and count in no measure."""
+    names = [f"f{i}" for i in range(width)]
+    value = lambda i: F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) / 100.0
+    full = spark.range(60).select(F.col("id").alias("app_id"), *[value(i).alias(n) for i, n in enumerate(names)])
+    bad = full.limit(2).withColumn("app_id", F.col("app_id") + 1000)
+    bad = bad.withColumn("f1", F.when(F.col("app_id") == 1000, F.lit(None).cast("double")).otherwise(F.lit(float("nan"))))
+    centers = [[0.1 * (i % 5)] * width for i in range(-2, 5)]
+    found = []
+    for table in (full, full.unionByName(bad)):
+        scaled = standardize(table, fit_standardizer(table, names))
+        assigned = assign(scaled, scaled_names(names), centers)
+        rows = {r["app_id"]: (r["cluster_id"], r["d2"]) for r in assigned.collect()}
+        found.append((rows, wssse(assigned).first()[0], silhouette(assigned, scaled_names(names)).first()[0]))
+    assert found[1][0].pop(1000) == found[1][0].pop(1001) == (None, None)
+    assert {i: r[0] for i, r in found[0][0].items()} == {i: r[0] for i, r in found[1][0].items()}
+    assert found[0][1:] == pytest.approx(found[1][1:], abs=1e-9)
+
+
+def test_unusable_rows_by_policy(spark):
+    model = make_model(DEFAULT_FEATURES, [1.0, 2.0, 3.0, 4.0], [1.0] * 4, [[0.1] * 4, [0.2] * 4])
+    rows = [(i, "n", p, 50.0, 20, 1.0) for i, p in enumerate((1.0, None, float("nan"), float("inf"), -1.0))]
+    table = spark.createDataFrame(
+        rows, "app_id int, game_name string, price double, rating_percent double, popularity long, playtime_hours double"
+    )
+    ids = {r["app_id"]: r["cluster_id"] for r in score_rows(table, model).collect()}
+    assert ids.pop(0) is not None and set(ids.values()) == {None}
+    assert [r["app_id"] for r in score_rows(table, model, "skip").collect()] == [0]
+    with pytest.raises(Exception, match="NULL, NaN or infinite"):
+        score_rows(table, model, "error").collect()
+    inputs = with_features(table)
+    more = inputs.where("app_id = 0").withColumn("price", F.explode(F.array(*[F.lit(float(x)) for x in range(1, 9)])))
+    fitted = fit_ml_stages(with_features(more), ["log_price", "rating_percent", "log_popularity", "log_playtime"], 2)
+    ids = {r["app_id"]: r["cluster_id"] for r in score_rows(inputs, fitted).collect()}
+    assert ids.pop(0) is not None and set(ids.values()) == {None}
+    assert score_rows(inputs, fitted, "skip").count() == 1
+
+
+def test_fit_checks_fail_on_other_centers(scaled):
+    centers = center_lists(kmeans(3).fit(as_vectors(stable_layout(scaled, ["app_id"]), SCALED)))
+    good = fit_checks(assign(scaled, SCALED, centers), SCALED, centers).first()
+    assert good["centers_are_means"] and good["moved_centers_cost_more"] and good["assigned_rows"] == 400
+    other = [[x + 0.3 for x in c] for c in centers]
+    bad = fit_checks(assign(scaled, SCALED, other), SCALED, other).first()
+    assert not bad["centers_are_means"] and not bad["moved_centers_cost_more"]
+
+
+def test_sweep_holds_one_table(spark, scaled):
+    """No fit keeps rows of its own beside the held table, and nothing stays behind."""
+    seen = []
+    real = clustering.kmeans
+
+    def watched(*args, **kwargs):
+        seen.append(len(spark.sparkContext._jsc.getPersistentRDDs()))
+        return real(*args, **kwargs)
+
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    clustering.kmeans = watched
+    try:
+        clustering.k_sweep(scaled, SCALED, ks=(2, 3, 4, 5), parallelism=1)
+    finally:
+        clustering.kmeans = real
+    assert max(seen) <= before + 1
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+
+
+def test_copies_of_one_metadata_row_are_spread(spark):
+    entity = spark.createDataFrame([(1, "n")], "app_id int, review_app_name string")
+    row = spark.createDataFrame([(1, "m", 2.0)], "meta_appid int, meta_game_name string, meta_price double")
+    copies = row.crossJoin(spark.range(20_000)).drop("id")
+    out = attach_metadata(entity, copies, "keep")
+    parts = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in parts) == 20_000 and max(r["count"] for r in parts) <= 12_000
 
 
 def brute_force_silhouette(rows):
@@ -192,12 +258,3 @@ def test_numbers_of_an_ml_model_score_the_same(spark):
     ours = from_ml_stages(fitted).score(table).select("app_id", "cluster_id")
     theirs = fitted.transform(inputs).select("app_id", F.col("cluster_id").alias("p"))
     assert ours.join(theirs, "app_id").where("p <> cluster_id").count() == 0
-
-
-def test_wide_scaler_fit_agrees(spark, monkeypatch):
-    table = points(spark)
-    narrow = fit_standardizer(table, COLUMNS)
-    monkeypatch.setattr("cohortmill.operators.scaling.MAX_AGGREGATED_COLUMNS", 1)
-    wide = fit_standardizer(table, COLUMNS)
-    assert wide.means == pytest.approx(narrow.means, abs=1e-9)
-    assert wide.deviations == pytest.approx(narrow.deviations, abs=1e-9)

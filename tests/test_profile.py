@@ -8,6 +8,7 @@ from cohortmill.operators.quality import cross_checks, quality_checks
 from cohortmill.operators.sampling import plot_sample
 from cohortmill.sources.tables import CLUSTERED_SCHEMA, STATISTICS_SCHEMA, SWEEP_SCHEMA
 
+# The published cluster statistics.
 STATS = [
     (0, 56, 3.12, 0.0, 95.63, 97.16, 43872.84, 29982, 36.91, 21.63),
     (1, 117, 22.1, 18.99, 86.41, 89.76, 6638.77, 4570, 53.95, 38.48),
@@ -28,8 +29,9 @@ def clustered(spark, rows):
 def test_published_statistics_get_the_published_labels(stats):
     labels = {r["cluster_id"]: r["label"] for r in profile.cluster_labels(stats).collect()}
     assert labels == {0: "budget", 1: "mid_tier", 2: "poorly_received", 3: "blockbuster"}
-    texts = profile.label_texts(profile.cluster_labels(stats)).where("cluster_id = 3").first()
+    texts = profile.label_texts(profile.cluster_labels(stats), stats).where("cluster_id = 3").first()
     assert texts["name"] == fixed.LABEL_TEXTS["blockbuster"][0]
+    assert texts["description"] == "Means: rating 89.69 %, price 24.96, reviews 116563.83, hours 224.23"
 
 
 def test_published_shares(spark, stats):

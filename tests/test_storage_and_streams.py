@@ -138,5 +138,41 @@ def test_report_and_dashboard(spark, run):
     assert len(meta) == result.sizes.count()
     assert all(1 <= len(r["representative"]) <= 5 for r in meta)
     summary = spark.read.json(f"{out}/dashboard/model_summary").first()
-    assert summary["optimal_k"] == 3 and summary["entities"] == result.clustered.count()
+    assert summary["optimal_k"] == 3 and summary["clustered_games"] == result.clustered.count()
     assert SegmentModel.load(spark, f"{out}/model") == result.model
+
+
+def test_bad_settings_fail_before_any_work(spark):
+    for settings in (Settings(k=12), Settings(ks=(1, 2)), Settings(ks=())):
+        with pytest.raises(ValueError):
+            segment(None, None, settings)
+
+
+def test_a_run_removes_its_intermediate_tables(spark, folder):
+    """After a release, and after a failure in the middle."""
+    def left():
+        held = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+        files = held.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return {str(f.getPath()) for f in files.listStatus(held)} if files.exists(held) else set()
+
+    before = left()
+    events, meta = bindings.line_events(spark, folder), bindings.part_metadata(spark, folder)
+    settings = Settings(rules=bindings.LINE_SETTINGS.rules, ks=(2,), k=2)
+    result = segment(events, meta, settings)
+    assert left() > before
+    result.release()
+    assert left() == before
+    spoilt = meta.withColumn("price", F.lit("NaN"))
+    with pytest.raises(ValueError, match="NULL, NaN or infinite"):
+        segment(events, spoilt, Settings(rules=settings.rules, ks=(2,), unusable="error"))
+    assert left() == before
+
+
+def test_a_run_survives_unusable_prices(spark, folder):
+    events, meta = bindings.line_events(spark, folder), bindings.part_metadata(spark, folder)
+    bad = F.element_at(F.array(*map(F.lit, ("NaN", "inf", "-1"))), F.pmod(F.length("appid"), F.lit(3)) + 1)
+    spoilt = meta.withColumn("price", F.when(F.col("appid").endswith("7"), bad).otherwise(F.col("price")))
+    result = segment(events, spoilt, Settings(rules=bindings.LINE_SETTINGS.rules, ks=(2,), k=2))
+    assert result.unusable.first()[0] > 0
+    assert result.clustered.where("cluster_id IS NULL").count() == 0
+    result.release()
