@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
+from cohortmill.llm.licenses import COPYRIGHT_LINE, KNOWN, SPELLINGS
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 DECONTAMINATION = rf"""
@@ -54,7 +56,121 @@ SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id,
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
 
+# Every 400-byte window of every text by digest; windows seen twice are merged into spans.
+SUFFIX_DEDUP = """
+WITH texts AS MATERIALIZED (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(substr(hx, 2 * i + 1, 800)) AS h FROM texts, unnest(range(0, n - 399)) AS t(i) WHERE n >= 400),
+twice AS (SELECT doc_id, i FROM windows SEMI JOIN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1) USING (h)),
+marked AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 0 ELSE 1 END AS fresh FROM twice),
+numbered AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+spans AS (SELECT doc_id, span, min(i) AS a, max(i) + 400 AS z FROM numbered GROUP BY doc_id, span),
+gaps AS (
+  SELECT doc_id, span, substr(hx, 2 * coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1,
+         2 * (a - coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0))) AS part
+  FROM spans JOIN texts USING (doc_id)),
+removed AS (
+  SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS last FROM spans GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(part, '' ORDER BY span) AS parts FROM gaps GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN hx ELSE parts || substr(hx, 2 * last + 1) END)) AS kept_sha256
+FROM texts LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+# CRC-32 by its table: the entry of a byte is eight shift steps with the reflected polynomial.
+SHARDING = """
+WITH RECURSIVE steps(b, k, c) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL
+  SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8),
+texts AS MATERIALIZED (
+  SELECT doc_id, text, octet_length(encode(coalesce(text, ''))) + 1 AS size, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+placed AS (
+  SELECT *, min(doc_id) OVER (PARTITION BY text) AS leader, sum(size) OVER (PARTITION BY text) AS group_bytes,
+         count(*) OVER (PARTITION BY text) AS members, sum(size) OVER () AS everything
+  FROM texts),
+begun AS (
+  SELECT *, sum(size) OVER (ORDER BY leader, doc_id) - size AS begins FROM placed),
+sharded AS (
+  SELECT *, least(floor((CASE WHEN members > 1 AND group_bytes <= everything * (0.01 / 16)
+                   THEN min(begins) OVER (PARTITION BY leader) ELSE begins END) * 16 / everything), 15)::INTEGER AS shard
+  FROM begun)
+SELECT doc_id, size::BIGINT AS size,
+       xor(list_reduce(list_prepend(4294967295, list_transform(range(size - 1),
+           lambda i: ('0x' || substr(hx, 2 * i + 1, 2))::BIGINT)),
+           lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295)::BIGINT AS text_crc32,
+       'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY leader, doc_id) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM sharded, crc
+"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical(column: str) -> str:
+    out = f"regexp_replace({column}, {_quoted(COPYRIGHT_LINE)}, ' ', 'g')"
+    out = f"regexp_replace(lower({out}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')"
+    for spelling, usual in SPELLINGS:
+        out = f"regexp_replace({out}, '\\b{spelling}\\b', '{usual}', 'g')"
+    return f"sha256(trim({out}))"
+
+
+LICENSES = f"""
+WITH known AS (
+  SELECT DISTINCT license, {_canonical('body')} AS digest
+  FROM (VALUES {', '.join(f'({_quoted(name)}, {_quoted(body)})' for name, body in KNOWN)}) AS t(license, body)),
+paragraphs AS (SELECT doc_id, string_split_regex(text, '\\n[^\\S\\n]*\\n') AS p FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL),
+units AS (
+  SELECT doc_id, 'text' AS unit, 0::BIGINT AS part, text AS body FROM documents WHERE text IS NOT NULL
+  UNION ALL SELECT doc_id, 'paragraph', i - 1, p[i] FROM paragraphs, unnest(range(1, len(p) + 1)) AS t(i) WHERE len(p) > 1
+  UNION ALL SELECT doc_id, 'line', i - 1, p[i] FROM lines, unnest(range(1, len(p) + 1)) AS t(i) WHERE len(p) > 1)
+SELECT doc_id, unit, part, license FROM units JOIN known ON {_canonical('body')} = digest
+"""
+
+QUALITY = r"""
+WITH texts AS MATERIALIZED (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+            FROM texts, unnest(range(1, len(w) - 1)) AS t(i) WHERE len(w) > 2),
+twice AS (SELECT doc_id, i FROM windows SEMI JOIN (
+            SELECT doc_id, g FROM windows GROUP BY doc_id, g HAVING count(*) > 1) USING (doc_id, g)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+measured AS (
+  SELECT doc_id, text, len(w)::BIGINT AS n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         coalesce(lines.n, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+  FROM texts LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         n_symbols * 10 > n_words * 3
+      OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+      OR n_dup_lines * 10 > 3 * greatest(10, len(string_split(text, chr(10))))
+      OR 2 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > word_chars
+      OR 4 * length(regexp_replace(text, '[^!]', '', 'g')) > n_words * 3
+      OR 2 * length(regexp_replace(text, '[^\p{L}]', '', 'g')) < word_chars
+      OR 5 * len(list_distinct(regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+'))) < least(n_words, 200) AS failed
+  FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT failed AS kept
+FROM judged
+"""
+
 ORACLES: dict[str, str] = {
     "op1_minhash_near_dedup": NEAR_DEDUP,
+    "op4_sharding": SHARDING,
+    "op5_suffix_array_dedup": SUFFIX_DEDUP,
+    "op6_license_scans": LICENSES,
     "op7_benchmark_decontamination": DECONTAMINATION,
+    "op10_quality_rules": QUALITY,
 }
