@@ -32,14 +32,14 @@ def _ends_like_number(column: Column, *letters: str) -> Column:
     return (last < _AFTER_DIGITS) | last.isin(_DELETE, *letters)
 
 
-def int_key(column: Column, is_text: bool = True) -> Column:
-    """Integer key; NULL where the text is not an integer.
+def int_key(column: Column, is_text: bool = True, kind: str = "int") -> Column:
+    """Integer key of type ``kind``; NULL where the text is not such an integer.
 
     A failing ``try_cast`` raises and catches an exception per row, some hundred
     times the cost of a cast that succeeds.  Text that cannot be a number by its
     first or last character never reaches the cast.
     """
-    cast = column.try_cast("int")
+    cast = column.try_cast(kind)
     if not is_text:
         return cast
     return F.when(_starts_like_number(column) & _ends_like_number(column), cast)
@@ -94,9 +94,13 @@ def magnitude_text(value: Column, unit: Column) -> Column:
 
     Only captions above a thousand have a thousands mark.
     """
+
+    def plain(digits: int) -> Column:
+        return F.replace(F.format_number(value, digits), F.lit(","), F.lit(""))
+
     return (
         F.when(value > 1000, F.format_number(value, 0))
-        .when(value > 10, F.format_string("%.1f", value))
-        .when(unit == "$", F.format_string("$%.2f", value))
-        .otherwise(F.format_string("%.1f", value))
+        .when(value > 10, plain(1))
+        .when(unit == "$", F.concat(F.lit("$"), plain(2)))
+        .otherwise(plain(1))
     )

@@ -35,6 +35,7 @@ class CleaningRules:
     true_word: str = fixed.TRUE_WORD
     measure_min: float = fixed.MIN_MEASURE_MINUTES
     measure_max: float = fixed.MAX_MEASURE_MINUTES
+    key_type: str = "int"  # "bigint" keeps keys beyond 2^31 - 1
 
 
 def typed_events(
@@ -44,7 +45,7 @@ def typed_events(
 ) -> DataFrame:
     """Tolerantly cast events; rows that fail a cast carry NULL and are still present."""
     return raw.select(
-        int_key(named(columns.key), is_text(raw, columns.key)).alias("app_id"),
+        int_key(named(columns.key), is_text(raw, columns.key), rules.key_type).alias("app_id"),
         named(columns.name).alias("app_name"),
         truth_flag(named(columns.flag), rules.true_word).alias("is_recommended"),
         number(named(columns.measure), is_text(raw, columns.measure)).alias("playtime_forever"),
@@ -88,10 +89,12 @@ def clean_events(
     return _cast_once(typed_events(raw, columns, rules)).where(has_key() & has_measure(rules))
 
 
-def clean_metadata(raw: DataFrame, columns: MetadataColumns = MetadataColumns()) -> DataFrame:
+def clean_metadata(
+    raw: DataFrame, columns: MetadataColumns = MetadataColumns(), key_type: str = "int"
+) -> DataFrame:
     """Typed metadata rows that have an integer key; keys may repeat."""
     typed = raw.select(
-        int_key(named(columns.key), is_text(raw, columns.key)).alias("meta_appid"),
+        int_key(named(columns.key), is_text(raw, columns.key), key_type).alias("meta_appid"),
         named(columns.name).alias("meta_game_name"),
         number(named(columns.price), is_text(raw, columns.price)).alias("meta_price"),
     )

@@ -84,7 +84,7 @@ def entity_feature_table(
     """Raw events and metadata to the feature table: one event scan, one event shuffle."""
     typed = cleaning.typed_events(events, settings.events, settings.rules)
     per_entity = entities.entity_features(entities.entity_aggregate(typed, settings.rules))
-    typed_meta = cleaning.clean_metadata(meta, settings.metadata)
+    typed_meta = cleaning.clean_metadata(meta, settings.metadata, settings.rules.key_type)
     joined = metadata.attach_metadata(per_entity, typed_meta, settings.duplicates)
     return features.feature_table(joined, settings.min_popularity)
 
@@ -113,7 +113,7 @@ def _segment(events: DataFrame, meta: DataFrame, settings: Settings, scratch: Sc
     )
     per_entity = entities.entity_features(entities.kept_entities(audited))
     joined = metadata.attach_metadata(
-        per_entity, cleaning.clean_metadata(meta, settings.metadata), settings.duplicates
+        per_entity, cleaning.clean_metadata(meta, settings.metadata, settings.rules.key_type), settings.duplicates
     )
     table = materialize(features.feature_table(joined, settings.min_popularity), "feature-table", scratch)
 

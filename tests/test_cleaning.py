@@ -118,3 +118,12 @@ def test_keyword_inside_a_longer_title(spark):
     titles = spark.createDataFrame([("The WOLF Among Us",), ("Among",), (None,)], "t string")
     hits = [r[0] for r in titles.select(contains_any(F.col("t"), ["among us"])).collect()]
     assert hits == [True, False, False]
+
+
+def test_key_type(spark):
+    """Keys beyond the integer range stay where the rules ask for long keys."""
+    raw = spark.createDataFrame([("3000000000", "n", "True", "5")], "app_id string, app_name string, recommended string, `author.playtime_forever` string")
+    assert cleaning.clean_events(raw).count() == 0
+    assert cleaning.clean_events(raw, rules=cleaning.CleaningRules(key_type="bigint")).first()["app_id"] == 3_000_000_000
+    meta = spark.createDataFrame([("3000000000", "n", "1")], "appid string, name string, price string")
+    assert cleaning.clean_metadata(meta).count() == 0 and cleaning.clean_metadata(meta, key_type="bigint").count() == 1
