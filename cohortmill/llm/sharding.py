@@ -6,8 +6,7 @@ shard follows from where its bytes begin.  Order: doc_id, where texts that are e
 together at the place of the smallest id among them.  Such a group stays in one shard while
 it is small beside a shard; a larger group is cut between rows.
 
-The driver sees nothing but the number of shards; the table of partition totals has one
-row per partition.
+The driver sees the total alone; the table of partition totals has one row per partition.
 
 Defined results: a null text counts as no bytes; null ids come first.  Repeated rows are
 rows.  An empty table gives an empty result.  Extra columns are ignored.
@@ -58,11 +57,11 @@ def byte_shards(docs: DataFrame, shards: int = SHARDS, group_share: float = GROU
         F.md5(F.col("text").cast("binary")).alias("_digest"),
     )
     rows = cut(rows)
-    # A text's group: equal digest.  Its leader is the smallest id; its bytes decide whether it stays whole.
+    # A text's group: equal digests.  Its leader is the smallest id; its bytes decide whether it stays whole.
     groups = rows.groupBy("_text", "_digest").agg(
         F.min("doc_id").alias("_leader"), F.sum("size").alias("_group_bytes"), F.count("*").alias("_members")
     )
-    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("_all"))
+    total = rows.agg(F.sum("size")).first()[0] or 1
     rows = rows.join(
         groups.where("_members > 1").withColumnRenamed("_text", "_t").withColumnRenamed("_digest", "_d"),
         F.col("_text").eqNullSafe(F.col("_t")) & F.col("_digest").eqNullSafe(F.col("_d")),
@@ -71,14 +70,14 @@ def byte_shards(docs: DataFrame, shards: int = SHARDS, group_share: float = GROU
         "doc_id", "size", "text_crc32",
         F.coalesce("_leader", "doc_id").alias("_first"), "_text", F.coalesce("_group_bytes", F.lit(0)).alias("_group"),
     )
-    placed = _prefixed(rows, "size", ["_first", "_text", "doc_id"], "_begin").join(F.broadcast(total))
+    placed = _prefixed(rows, "size", ["_first", "_text", "doc_id"], "_begin")
+    placed = cut(placed.withColumn("_whole", (F.col("_group") > 0) & (F.col("_group") <= total * group_share / shards)))
     # A small group begins where its first row does.
-    whole = F.col("_group") <= F.col("_all") * F.lit(group_share / shards)
-    same = Window.partitionBy("_first", "_text")
-    small = placed.where(whole & (F.col("_group") > 0)).withColumn("_begin", F.min("_begin").over(same))
-    placed = placed.where(~whole | (F.col("_group") == 0)).unionByName(small)
+    begins = placed.where("_whole").groupBy("_first", "_text").agg(F.min("_begin").alias("_begin"))
+    small = placed.where("_whole").drop("_begin").join(begins, ["_first", "_text"])
+    placed = placed.where("NOT _whole").unionByName(small)
     placed = placed.withColumn(
-        "shard", F.least(F.floor(F.col("_begin") * shards / F.col("_all")), F.lit(shards - 1)).cast("int")
+        "shard", F.least(F.floor(F.col("_begin") * shards / total), F.lit(shards - 1)).cast("int")
     )
     # The same prefix sums, of ones, number the rows of a shard.
     numbered = _prefixed(
