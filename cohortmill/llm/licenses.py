@@ -5,10 +5,10 @@ copyright lines dropped, spellings that mean the same made one, punctuation and
 closed up.  Its digest is joined with the digests of known licence texts, made by the very
 same expressions.  The known texts are a fixed, small table.
 
-Native expressions.  Defined results: null, empty and licence-less texts give no rows.  A
-unit that is equal to a known text gives one row, its kind being the largest that matches
-(``text``, ``paragraph``, ``line``).  Rows are handled one by one, so repeated rows repeat;
-extra columns are ignored.
+Native expressions.  Defined results: null, empty and licence-less texts give no rows.  Every
+unit (``text``, ``paragraph``, ``line``) that is equal to a known text gives a row; a text of
+one line has no other units.  Rows are handled one by one, so repeated rows repeat; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -93,7 +93,6 @@ def find_licenses(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """doc_id, unit, part (its number in the text, from 0) and license of each unit equal to a known text."""
     known = known_digests(docs.sparkSession) if known is None else known
     text = F.col("text")
-    # A long unit cannot be one line of another kind too: equal parts of one text are taken once, the largest kind.
     unit = lambda kind, parts: F.transform(
         parts, lambda p, i: F.struct(F.lit(kind).alias("unit"), i.cast("bigint").alias("part"), p.alias("content"))
     )
