@@ -182,7 +182,9 @@ def test_random_tokens_are_found_and_structured_ones_left(spark):
     rows = [(i, f"see {t} there") for i, t in enumerate(secret + plain)]
     got = {r.doc_id: r.spans for r in find_secrets(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert sum(got[i] == "random:4:44" for i in range(30)) >= 28
-    assert not any(got[i] for i in range(30, len(rows)))
+    # The last two hold hex strings, which the pattern finds; the battery adds nothing to them.
+    assert not any("random" in got[i] for i in range(30, len(rows)))
+    assert not any(got[i] for i in range(30, len(rows) - 2))
 
 
 def test_redaction(spark):
@@ -262,7 +264,7 @@ def test_quality_measures_and_cascade(spark, docs, texts):
         assert (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words) == (
             len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered),
         )
-    planned = [name for name, _, _ in plan_cascade(measured)]
+    planned = [name for name, _, _ in plan_cascade(docs)]
     assert sorted(planned) == sorted(RULES)
     verdicts = [
         {r.doc_id for r in measured.where(cascade(order).isNotNull()).select("doc_id").collect()}
