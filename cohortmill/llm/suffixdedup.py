@@ -339,7 +339,11 @@ def _final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         removed, kept, digests = [], [], []
         for row in range(batch.num_rows):
             text = data[offsets[row] : offsets[row + 1]]
-            own = spans[row].as_py() or []
+            own = spans[row].as_py()
+            if not own:
+                removed.append([])
+                digests.append(hashlib.sha256(text.tobytes()).hexdigest())
+                continue
             change = np.zeros(len(text) + 1, dtype=np.int64)
             for span in own:
                 change[span["start"]] += 1
@@ -347,7 +351,7 @@ def _final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone = np.cumsum(change[:-1]) > 0
             start, end = tb.merged_runs(gone)
             removed.append([{"start": a, "end": b} for a, b in zip(start.tolist(), end.tolist())])
-            digests.append(hashlib.sha256((text[~gone] if own else text).tobytes()).hexdigest())
+            digests.append(hashlib.sha256(text[~gone].tobytes()).hexdigest())
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
             [
