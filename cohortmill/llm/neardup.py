@@ -282,8 +282,10 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"))
     )
     members = cut(signed.drop("bands").join(classes, ["set_a", "set_b"], "left"))
-    nodes = signed.join(classes, ["set_a", "set_b"]).where("doc_id = node").dropDuplicates(["set_a", "set_b"])
-    buckets = _buckets(nodes.select("node", "bands"))
+    # One row of each class goes on.  Its id is part of the join, so the rows of a large class do not meet.
+    keys = ["set_a", "set_b", "doc_id"]
+    nodes = signed.join(classes.withColumnRenamed("node", "doc_id"), keys).dropDuplicates(keys)
+    buckets = _buckets(nodes.select(F.col("doc_id").alias("node"), "bands"))
     compared = cut(compare_stars(star_edges(buckets), docs, words, percent))
     links = compared.where("linked").select("center", "node")
     found = components(links)
