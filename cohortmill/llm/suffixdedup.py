@@ -378,8 +378,8 @@ def repeated_spans(
     run_bytes: int = RUN_BYTES,
     piece_bytes: int = PIECE_BYTES,
 ) -> DataFrame:
-    """(id, digest, start, end) of repeated spans; ``texts`` has id, digest and text."""
-    places = tb.map_texts(texts, _find_anchors(length, gram), "id bigint, digest bigint, place bigint, gram bigint")
+    """(id, digest, start, end) of repeated spans; ``texts`` has id, digest, text and may have more."""
+    places = tb.map_texts(texts.select("id", "digest", "text"), _find_anchors(length, gram), "id bigint, digest bigint, place bigint, gram bigint")
     counted = places.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     shared = cut(places.join(counted, "gram").select("id", "digest", "place", "n"))
     usual = shared.where(F.col("n") <= max_group)
@@ -414,8 +414,9 @@ def remove_repeats(docs: DataFrame, **parameters) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("id"),
         F.xxhash64("doc_id", "text").alias("digest"),
     )
-    spans = repeated_spans(texts.select("id", "digest", "text"), **parameters)
-    listed = cut(spans).groupBy("id", "digest").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    # Both joins with the texts take the same columns and are one job, so the texts are shuffled once.
+    spans = repeated_spans(texts, **parameters)
+    listed = spans.groupBy("id", "digest").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     return tb.map_texts(
         texts.join(listed.hint("shuffle_hash"), ["id", "digest"], "left").select("doc_id", "text", "spans"),
         _final,
