@@ -240,6 +240,14 @@ def reaches(
     once as it is.  (0, 0) where no string of ``length`` bytes repeats.
     """
     n = len(rights)
+    if n <= 2:
+        # Most groups: a member repeats by itself, or with the other as far as both agree.
+        pair = (common_prefix(before[0], before[1], 0), shared[1]) if n == 2 else (0, 0)
+        found = []
+        for right, left, again in zip(rights, map(len, before), several):
+            ways = [way for way in (pair, (left, right) if again else (0, 0)) if sum(way) >= length]
+            found.append((max(way[0] for way in ways), max(way[1] for way in ways)) if ways else (0, 0))
+        return found
     lefts = np.array([len(x) for x in before])
     rights = np.array(rights)
     shared = np.array(shared)
