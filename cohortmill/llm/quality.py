@@ -44,7 +44,7 @@ def lines_with_words(text: Column) -> Column:
 
 def window_hashes(words: Column) -> Column:
     """A hash of each three-word window, by place."""
-    hashed = lambda i: F.xxhash64(F.get(words, i), F.lit(" "), F.get(words, i + 1), F.lit(" "), F.get(words, i + 2))
+    hashed = lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
     return F.when(F.size(words) > 2, F.transform(F.sequence(F.lit(0), F.size(words) - 3), hashed))
 
 
@@ -106,10 +106,13 @@ RULES: dict[str, Callable[[], Column]] = {
 }
 
 
-def plan_cascade(measured: DataFrame, rules: dict[str, Callable[[], Column]] | None = None) -> list[tuple[str, float, float]]:
-    """(rule, rejected share, seconds a row) by rejection per cost on the sample, best first."""
+def plan_cascade(docs: DataFrame, rules: dict[str, Callable[[], Column]] | None = None) -> list[tuple[str, float, float]]:
+    """(rule, rejected share, seconds a row) by rejection per cost on the sample, best first.
+
+    The rows are drawn before anything is measured, as Spark samples what it is given.
+    """
     rules = rules or RULES
-    sample = measured.sample(SAMPLE_SHARE, SAMPLE_SEED).limit(SAMPLE_ROWS).persist()
+    sample = measures(docs.select("doc_id", "text").sample(SAMPLE_SHARE, SAMPLE_SEED).limit(SAMPLE_ROWS)).persist()
     try:
         rows = max(1, sample.count())
         found = []
@@ -134,7 +137,7 @@ def cascade(order: list[str], rules: dict[str, Callable[[], Column]] | None = No
 def judge(docs: DataFrame) -> DataFrame:
     """The measures of every row, base_failed, kept, and the rule that rejected it."""
     measured = measures(docs)
-    order = [name for name, _, _ in plan_cascade(measured)]
+    order = [name for name, _, _ in plan_cascade(docs)]
     return (
         measured.withColumn("base_failed", base_failed())
         .withColumn("failed_rule", F.when(F.col("base_failed"), F.lit("base")).otherwise(cascade(order)))
