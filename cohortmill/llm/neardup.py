@@ -281,7 +281,10 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     classes = (
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"))
     )
-    members = cut(signed.drop("bands").join(classes, ["set_a", "set_b"], "left"))
+    # A row without a doc_id is no node: it would tie together whatever null-id rows copy.
+    members = cut(
+        signed.drop("bands").join(classes, ["set_a", "set_b"], "left").withColumn("node", F.expr("IF(doc_id IS NOT NULL, node, NULL)"))
+    )
     # One row of each class goes on.  Its id is part of the join, so the rows of a large class do not meet.
     keys = ["set_a", "set_b", "doc_id"]
     nodes = signed.join(classes.withColumnRenamed("node", "doc_id"), keys).dropDuplicates(keys)
@@ -290,14 +293,10 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     links = compared.where("linked").select("center", "node")
     found = components(links)
     more = cut(leaf_pairs(compared, found, percent))
-    # A doc_id with several texts ties their sets together.
-    same_id = (
-        members.where("node IS NOT NULL")
-        .groupBy("doc_id")
-        .agg(F.min("node").alias("a"), F.collect_set("node").alias("all"))
-        .where(F.size("all") > 1)
-        .select("a", F.explode("all").alias("b"))
-    )
+    # A doc_id with several texts ties their sets together, each to the smallest node of the id.
+    ids = members.where("node IS NOT NULL").select("doc_id", F.col("node").alias("b"))
+    least = ids.groupBy("doc_id").agg(F.min("b").alias("a"), F.max("b").alias("high")).where("a <> high").drop("high")
+    same_id = ids.join(least, "doc_id").where("a <> b").select("a", "b").distinct()
     extra = cut(same_id if more.isEmpty() else confirm(more, docs, words, percent).union(same_id))
     if not extra.isEmpty():
         found = components(links.union(extra))
