@@ -72,9 +72,13 @@ def byte_shards(docs: DataFrame, shards: int = SHARDS, group_share: float = GROU
     )
     placed = _prefixed(rows, "size", ["_first", "_text", "doc_id"], "_begin")
     placed = cut(placed.withColumn("_whole", (F.col("_group") > 0) & (F.col("_group") <= total * group_share / shards)))
-    # A small group begins where its first row does.
-    begins = placed.where("_whole").groupBy("_first", "_text").agg(F.min("_begin").alias("_begin"))
-    small = placed.where("_whole").drop("_begin").join(begins, ["_first", "_text"])
+    # A small group begins where its first row does.  Its first id is null if all its rows lack one.
+    begins = placed.where("_whole").groupBy(F.col("_first").alias("_f"), F.col("_text").alias("_t")).agg(F.min("_begin").alias("_begin"))
+    small = (
+        placed.where("_whole").drop("_begin")
+        .join(begins, F.col("_first").eqNullSafe(F.col("_f")) & (F.col("_text") == F.col("_t")))
+        .drop("_f", "_t")
+    )
     placed = placed.where("NOT _whole").unionByName(small)
     placed = placed.withColumn(
         "shard", F.least(F.floor(F.col("_begin") * shards / total), F.lit(shards - 1)).cast("int")

@@ -6,6 +6,7 @@ import pytest
 
 import corpus_pipeline
 from cohortmill.llm.neardup import near_duplicates
+from cohortmill.llm.sharding import byte_shards
 
 FIVE, NINE = "one two three four five six seven", "red green blue white black pink grey"
 
@@ -26,3 +27,13 @@ def test_an_id_with_several_texts_is_one_document(spark):
     out = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     linked = {r.doc_id: r for r in out if r.n_shingles}
     assert {i: (r.component_id, r.kept) for i, r in linked.items()} == {i: (5, i == 5) for i in (5, 7, 9, 11)}
+
+
+def test_shards_keep_repeated_texts_without_an_id(spark):
+    rows = [*[(None, FIVE), (None, NINE), (None, None)] * 3, *[(i, f"{FIVE} {i % 10}") for i in range(40)]]
+    out = byte_shards(spark.createDataFrame(rows, "doc_id bigint, text string"), shards=2, group_share=1).collect()
+    size = lambda text: len(text or "") + 1
+    assert collections.Counter((r.doc_id, r["size"]) for r in out) == collections.Counter((i, size(t)) for i, t in rows)
+    for shard in {r.shard for r in out}:
+        own = sorted(r.slot for r in out if r.shard == shard)
+        assert own == list(range(len(own)))
