@@ -2,7 +2,7 @@
 
 1. A character language model: letter pairs counted over every document.
 2. Deobfuscation as a noisy channel: a token with digits or signs among its letters, with
-   letters repeated three times or more, or spelt out letter by letter, becomes a lattice of
+   letters repeated, or spelt out character by character, becomes a lattice of
    the letters each character may stand for (or of nothing, for signs and repeats); Viterbi
    picks the word that the language model and the channel make most likely.
 3. A document's words, as written and as restored, are looked up in a table of words and
@@ -48,7 +48,12 @@ AS_IS, DISGUISED, REPEATED, DROPPED_SIGN, DROPPED_DISGUISE = 0.0, -0.7, -0.3, -0
 LETTERS = tb._byte_class([*range(0x61, 0x7B), *range(0x80, 0x100)])
 _DIGITS = tb._byte_class(range(0x30, 0x3A))
 _LEET = tb._byte_class(map(ord, STANDS_FOR))
-_EDGE = re.compile(r"^[^\w$@]+|[^\w$@]+$|[$@]+$")
+_SIGNS = re.escape("".join(c for c in STANDS_FOR if not c.isdigit()))
+_EDGE = re.compile(rf"^[^\w{_SIGNS}]+|[^\w{_SIGNS}]+$")
+#: One character after the other of a spelt word, and letters with one and the same sign between.
+_SINGLE = re.compile(rf"([^\W_]+|[{_SIGNS}]+)")
+_REPEAT = re.compile(r"(.)\1")
+_DIVIDED = re.compile(r"^[^\W_]([^\w])[^\W_](?:\1[^\W_])+$")
 
 _START = 26
 _ALPHABET = {chr(97 + i): i for i in range(26)}
@@ -82,7 +87,7 @@ def letter_model(docs: DataFrame) -> np.ndarray:
     return np.log(counts / counts.sum(axis=1, keepdims=True))
 
 
-def restore(token: str, model: list[list[float]]) -> str:
+def restore(token: str, model: list[list[float]], keep_repeats: bool = False) -> str:
     """The most likely word behind a token: Viterbi over its character lattice."""
     states: dict[int, tuple[float, str]] = {_START: (0.0, "")}
     previous = ""
@@ -95,7 +100,7 @@ def restore(token: str, model: list[list[float]]) -> str:
         elif char.isalpha():
             options.append((char, AS_IS))
         # Signs may stand for nothing, and so may a repeated character; a digit always stands for a letter.
-        if char == previous:
+        if char == previous and not keep_repeats:
             dropped = REPEATED
         elif char.isalnum():
             dropped = None
@@ -117,38 +122,75 @@ def restore(token: str, model: list[list[float]]) -> str:
     return max((score + model[last][_START], word) for last, (score, word) in states.items())[1]
 
 
+def _pick(data: np.ndarray, offsets: np.ndarray, first: np.ndarray, last: np.ndarray) -> Iterator[tuple[int, str]]:
+    rows = np.searchsorted(offsets, first, side="right") - 1
+    for row, a, b in zip(rows.tolist(), first.tolist(), last.tolist()):
+        yield row, data[a:b].tobytes().decode("utf-8", "replace")
+
+
+def spelt(text: str) -> Iterator[str]:
+    """Words that a stretch of single characters may spell: all of it and each part between
+    equal separators, with and without an outer character (an article may stand before it)."""
+    parts = _SINGLE.split(text)
+    units, between = parts[1::2], parts[2:-1:2]
+    words, begin = [units], 0
+    for k in range(1, len(units) + 1):
+        if k == len(units) or (k - 1 > begin and between[k - 1] != between[begin]):
+            if 2 < k - begin < len(units):
+                words.append(units[begin:k])
+            begin = k
+    for word in words:
+        yield "".join(word)
+        if len(word) > 3:
+            yield "".join(word[1:])
+            yield "".join(word[:-1])
+
+
 def disguised(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, str]]:
     """(row, token) of the tokens in lower-cased texts that need restoring.
 
-    Those with a leet character before a letter or a digit after one, with a letter three
-    times in a row, and stretches of four or more single letters one character apart.
+    Tokens with a leet sign or a digit, with signs between letters or with a letter twice
+    in a row, and stretches of three or more single characters (or one character repeated)
+    with any separators.  Only characters that stand for nothing are stripped.  Numbers and
+    runs of one sign alone are left as they are.
     """
-    if len(data) < 3:
+    if len(data) < 2:
         return
-    letter, leet = LETTERS[data], _LEET[data]
-    marked = np.zeros(len(data), dtype=bool)
-    marked[:-1] |= leet[:-1] & letter[1:]
-    marked[1:] |= _DIGITS[data[1:]] & letter[:-1]
-    same = data[1:] == data[:-1]
-    marked[:-2] |= letter[:-2] & same[1:] & same[:-1]
+    letter, leet, digit = LETTERS[data], _LEET[data], _DIGITS[data]
+
+    def within(flags: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        sums = np.concatenate([[0], np.cumsum(flags)])
+        return sums[last] - sums[first]
+
     starts, ends, _ = tb.word_bounds(data, offsets, tb.NOT_SPACE)
-    at = np.unique(np.searchsorted(starts, np.flatnonzero(marked), side="right") - 1)
-    at = at[(at >= 0)]
-    spans = [(starts[at], ends[at])]
-    starts, ends, _ = tb.word_bounds(data, offsets, LETTERS)
-    if len(starts) > 3:
-        single = ends - starts == 1
-        row = np.searchsorted(offsets, starts, side="right")
-        joined = single[1:] & single[:-1] & (starts[1:] - ends[:-1] == 1) & (row[1:] == row[:-1])
-        begin, end = tb.merged_runs(joined)
-        long = end - begin >= 3
-        spans.append((starts[begin[long]], ends[end[long]]))
-    for first, last in spans:
-        rows = np.searchsorted(offsets, first, side="right") - 1
-        for row, a, b in zip(rows.tolist(), first.tolist(), last.tolist()):
-            token = _EDGE.sub("", data[a:b].tobytes().decode("utf-8", "replace"))
-            if token:
-                yield row, token
+    same = np.zeros(len(data), dtype=bool)
+    same[1:] = (data[1:] == data[:-1]) & letter[1:]
+    breaks = np.zeros(len(data), dtype=bool)  # a letter that follows something else
+    breaks[1:] = letter[1:] & ~letter[:-1]
+    letters, signs = within(letter, starts, ends), within(leet & ~digit, starts, ends)
+    odd = (within(leet, starts, ends) > 0) & ((letters > 0) | ((signs > 0) & (within(digit, starts, ends) > 0)))
+    odd |= (within(same, np.minimum(starts + 1, ends), ends) > 0) | (within(breaks, np.minimum(starts + 1, ends), ends) - (~letter[starts]) > 0)
+    for row, token in _pick(data, offsets, starts[odd], ends[odd]):
+        token = _EDGE.sub("", token)
+        if token:
+            yield row, token
+            if _DIVIDED.match(token):
+                yield row, token[::2]
+
+    starts, ends, _ = tb.word_bounds(data, offsets, LETTERS | _LEET)
+    if len(starts) < 3:
+        return
+    characters = within((data & 0xC0) != 0x80, starts, ends)
+    other = np.zeros(len(data), dtype=bool)
+    other[1:] = data[1:] != data[:-1]
+    single = (characters == 1) | (within(other, starts + 1, ends) == 0)
+    row = np.searchsorted(offsets, starts, side="right")
+    begin, end = tb.merged_runs(single[1:] & single[:-1] & (row[1:] == row[:-1]))
+    first, last = starts[begin], ends[end]
+    long = (end - begin >= 2) & (within(letter, first, last) > 0)
+    for row, text in _pick(data, offsets, first[long], last[long]):
+        for token in spelt(text):
+            yield row, token
 
 
 class Restorer:
@@ -165,7 +207,11 @@ class Restorer:
         if word is None:
             if len(self.known) >= self.KEPT:
                 self.known.clear()
-            self.known[token] = word = restore(token, self.model)
+            word = restore(token, self.model)
+            # A doubled letter may also be meant.
+            if _REPEAT.search(token) and (doubled := restore(token, self.model, True)) != word:
+                word = f"{word} {doubled}"
+            self.known[token] = word
         return word
 
     def texts(self, data: np.ndarray, offsets: np.ndarray) -> list[str]:
