@@ -166,6 +166,48 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+# Neighbours by their texts with one code point left out: of equal length they agree without the
+# same place, else the shorter one is the longer one without some place.
+SPELLING = f"""
+WITH RECURSIVE steps(b, k, c) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL
+  SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8),
+runs AS MATERIALIZED (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS owned, run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 7),
+digested AS (
+  SELECT run, xor(list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(owned))),
+           lambda i: ('0x' || substr(hex(encode(owned)), 2 * i + 1, 2))::BIGINT)),
+           lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295)::BIGINT AS h
+  FROM runs, crc),
+words AS MATERIALIZED (
+  SELECT word, count(*) AS n
+  FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+                    ELSE run END AS word FROM digested)
+  WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+shorter AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i::INT) || substr(word, i::INT + 2) AS rest
+  FROM words, unnest(range(length(word))) AS t(i)),
+pairs AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b USING (rest, i) WHERE a.word <> b.word
+  UNION SELECT a.word, a.n, w.word, w.n FROM shorter a JOIN words w ON a.rest = w.word
+  UNION SELECT w.word, w.n, a.word, a.n FROM shorter a JOIN words w ON a.rest = w.word),
+best AS MATERIALIZED (
+  SELECT word, count(*) AS n_near,
+         CASE WHEN max(near_n) >= 10 * any_value(n) THEN first(near ORDER BY near_n DESC, near) END AS form,
+         CASE WHEN max(near_n) >= 10 * any_value(n) THEN max(near_n) END AS form_n
+  FROM pairs GROUP BY word),
+chains(word, root, depth) AS (
+  SELECT word, word, 0 FROM words
+  UNION ALL SELECT chains.word, best.form, depth + 1 FROM chains JOIN best ON best.word = chains.root WHERE best.form IS NOT NULL),
+roots AS (SELECT word, last(root ORDER BY depth) AS root FROM chains GROUP BY word)
+SELECT word, form, root, n::BIGINT AS n, coalesce(n_near, 0)::BIGINT AS n_near, form_n::BIGINT AS form_n
+FROM words LEFT JOIN best USING (word) JOIN roots USING (word)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_minhash_near_dedup": NEAR_DEDUP,
     "op4_sharding": SHARDING,
@@ -173,4 +215,5 @@ ORACLES: dict[str, str] = {
     "op6_license_scans": LICENSES,
     "op7_benchmark_decontamination": DECONTAMINATION,
     "op10_quality_rules": QUALITY,
+    "op13_spelling_variant_grouping": SPELLING,
 }

@@ -15,6 +15,7 @@ from cohortmill.llm.packing import pack
 from cohortmill.llm.quality import judge
 from cohortmill.llm.secrets import find_secrets
 from cohortmill.llm.sharding import byte_shards
+from cohortmill.llm.spelling import spelling_groups
 from cohortmill.llm.suffixdedup import remove_repeats
 from cohortmill.llm.toxicity import fit, score
 
@@ -77,6 +78,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).drop("failed_rule")
 
 
+def op13_spelling_variant_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -90,5 +95,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_chat_formatting,
         op9_toxicity,
         op10_quality_rules,
+        op13_spelling_variant_grouping,
     )
 }
