@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortmill.llm import classifier
 from cohortmill.llm.chat import digests, format_windows
 from cohortmill.llm.decontaminate import find_contamination
 from cohortmill.llm.licenses import find_licenses
@@ -18,6 +19,7 @@ from cohortmill.llm.sharding import byte_shards
 from cohortmill.llm.spelling import spelling_groups
 from cohortmill.llm.suffixdedup import remove_repeats
 from cohortmill.llm.toxicity import fit, score
+from cohortmill.llm.whitening import whiten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +80,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).drop("failed_rule")
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract fixes the limit at 0.3."""
+    docs = table(spark, sf_dir, "documents")
+    scored = classifier.score(docs, classifier.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_spelling_variant_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(table(spark, sf_dir, "documents"))
 
@@ -95,6 +108,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_chat_formatting,
         op9_toxicity,
         op10_quality_rules,
+        op11_quality_classifier,
+        op12_embedding_whitening,
         op13_spelling_variant_grouping,
     )
 }
