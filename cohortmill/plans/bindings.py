@@ -44,11 +44,17 @@ USER_CENTERS = (
 )
 
 
-def line_events(spark: SparkSession, folder: str) -> DataFrame:
-    """All-text events with bad keys, missing flags, missing names and bad measures."""
+def line_events(spark: SparkSession, folder: str, half: int | None = None) -> DataFrame:
+    """All-text events with bad keys, missing flags, missing names and bad measures.
+
+    ``half`` 0 or 1 gives those of the even or the odd orders, as the events of one of two runs.
+    """
+    lines = read_table(spark, folder, "lineitem")
+    if half is not None:
+        lines = lines.where(F.pmod("l_orderkey", F.lit(2)) == half)
     line = F.col("l_linenumber")
     key = F.col("l_partkey").cast("string")
-    return read_table(spark, folder, "lineitem").select(
+    return lines.select(
         F.when(line == 7, F.concat(key, F.lit("x"))).otherwise(key).alias("app_id"),
         F.when(
             line != 1,

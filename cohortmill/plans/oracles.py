@@ -280,6 +280,11 @@ SELECT app_id, MIN(app_name) FILTER (WHERE ok) AS review_app_name, COUNT(*) AS r
          / NULLIF(COUNT(*) FILTER (WHERE ok), 0) AS avg_playtime_minutes
 FROM kept GROUP BY app_id"""
 
+ORACLES["entity_states_merged"] = ORACLES["entity_agg_audited"].replace(
+    "FROM kept GROUP BY",
+    ", quantile_disc(playtime_forever, 0.5) FILTER (WHERE ok) AS median_playtime_minutes\nFROM kept GROUP BY",
+)
+
 ORACLES["entity_median"] = stack(*TO_CLEAN) + """
 SELECT app_id, quantile_disc(playtime_forever, 0.5) AS median_playtime_minutes
 FROM clean_events GROUP BY app_id"""

@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortmill import fixed_values as fixed
 from cohortmill.operators import cleaning, entities, metadata, profile, sinks, summary
 from cohortmill.operators.charts import (
     elbow_series,
@@ -244,6 +245,24 @@ def entity_median(spark: SparkSession, folder: str) -> DataFrame:
     return entities.entity_medians(typed_lines(spark, folder), rules=LINES.rules)
 
 
+@query
+def entity_states_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs over half of the order lines each, written, and merged without reading an event again."""
+    size = fixed.ENTITY_MEDIAN_ACCURACY
+    runs = [
+        materialize(
+            entities.entity_states(
+                cleaning.typed_events(bindings.line_events(spark, folder, half), LINES.events, LINES.rules),
+                LINES.rules,
+                size,
+            ),
+            f"run-{half}",
+        )
+        for half in (0, 1)
+    ]
+    return entities.finished_states(entities.merge_states(runs, size))
+
+
 @query
 def entity_features(spark: SparkSession, folder: str) -> DataFrame:
     return entities.entity_features(entity_agg(spark, folder)).select(

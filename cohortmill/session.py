@@ -10,6 +10,8 @@ BASE_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Groups that a task keeps in a hash map where buffers are sketches; beyond, it sorts its rows.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "10000",
     "spark.ui.enabled": "false",
 }
 
