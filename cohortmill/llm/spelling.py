@@ -2,16 +2,16 @@
 
 1. ``word_counts``: the words of all documents with their occurrences.
 2. ``trie_edges``: one row per (node, next character) of the trie of those words.  A node is the
-   hash of a beginning.  An edge keeps how many words pass it and a 64-bit signature of what
-   follows in them.  Every word stands in the trie forwards and backwards: two words one edit
+   hash of a beginning.  An edge keeps a signature of what follows in the words that pass it, one of 64
+   bits for each.  Every word stands in the trie forwards and backwards: two words one edit
    apart share their first or their last half, so no walk has to start at the root, where
    every word would meet every branch.
 3. ``near_words``: states (word, target, depth).  A word's own path needs no walk, so its states
    without an edit are known at every depth.  Joined with the edges of their node they take
    every other branch, as a replaced or an inserted character.  That fixes the target, and states
-   with one edit follow it level by level, joined with the edge of its next character, until
-   no edge is left, the target ends, or a single word lies ahead.  A target is a neighbour if it
-   is a word: equal hashes can add a state, never a neighbour.
+   with one edit follow it level by level, joined with the edge of its next character, until no edge is
+   left that may lead to it, the target ends, or few words lie ahead.  A target that was reached is a
+   neighbour if it is a word: equal hashes can add a state, never a neighbour.
 4. ``spelling_groups``: neighbours of each word, its form and its root.
 
 A state and a join row are a word long; a node has at most as many edges as there are letters,
@@ -34,20 +34,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortmill.llm.lineage import cut
+from cohortmill.storage import materialize
 
 #: The letters of a run, what is lower-cased, and one run in how many loses a letter.
-RUN = r"[A-Za-zÀ-ÿ]+"
+RUN_LETTERS = "[A-Za-zÀ-ÿ]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DELETE_ONE_IN = 31
 MIN_LENGTH, MIN_COUNT, FORM_RATIO = 7, 2, 10
+#: A state ends where the signature has this many bits at most; the words decide, so any number is right.
+FEW_AHEAD = 8
 
 
 def word_counts(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = MIN_COUNT) -> DataFrame:
     """(word, n): words of at least ``min_length`` code points and ``min_count`` occurrences."""
+    # Whole runs all the same: the first place at which a long enough one matches is its begin.
+    long_runs = F.lit(f"{RUN_LETTERS}{{{min_length},}}")
     runs = docs.select(
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("owner"),
-        F.explode(F.regexp_extract_all("text", F.lit(RUN), F.lit(0))).alias("run"),
-    ).where(F.length("run") >= min_length)
+        F.explode(F.regexp_extract_all("text", long_runs, F.lit(0))).alias("run"),
+    )
     lowered = runs.select("owner", F.translate("run", UPPER, LOWER).alias("run"))
     digested = lowered.select("run", F.crc32(F.concat_ws(":", "owner", "run").cast("binary")).alias("h"))
     at = "CAST(h % length(run) AS INT)"
@@ -64,96 +69,92 @@ def word_counts(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int =
 
 
 def _both_ways(words: DataFrame) -> DataFrame:
-    """(back, w, n): each word forwards and backwards."""
-    ways = words.select("n", "word", F.explode(F.array(F.lit(0), F.lit(1))).alias("back"))
-    return ways.select("back", F.when(F.col("back") == 0, F.col("word")).otherwise(F.reverse("word")).alias("w"), "n")
+    """(back, w): each word forwards and backwards."""
+    ways = words.select("word", F.explode(F.array(F.lit(0), F.lit(1))).alias("back"))
+    return ways.select("back", F.when(F.col("back") == 0, F.col("word")).otherwise(F.reverse("word")).alias("w"))
 
 
 def _node(text: str, depth: str) -> str:
-    return f"xxhash64(back, left({text}, {depth}))"
+    """The beginning of that length, as a hash whose last byte is free for the next character."""
+    return f"xxhash64(back, left({text}, {depth})) & -256L"
+
+
+def _edge(text: str, depth: str) -> str:
+    """Node and next character in one number; the letters of a run have codes below 256."""
+    return f"({_node(text, depth)}) | ascii(substring({text}, {depth} + 1, 1))"
+
+
+def _place(rest: str) -> str:
+    """The place of what follows an edge in its signature."""
+    return f"CAST(pmod(xxhash64({rest}), 64) AS INT)"
 
 
 def _bit(rest: str) -> str:
-    """The signature bit of what follows an edge."""
-    return f"shiftleft(1L, CAST(pmod(xxhash64({rest}), 64) AS INT))"
+    return f"shiftleft(1L, {_place(rest)})"
 
 
 def trie_edges(words: DataFrame) -> DataFrame:
-    """(node, ch, n_words, ahead): the edges of a word from a depth that a neighbour can branch off."""
+    """(edge, ahead): the edges of each word from a depth on at which a neighbour can branch off."""
     steps = _both_ways(words).select(
         "back", "w", F.explode(F.expr("sequence((length(w) - 1) DIV 2, length(w) - 1)")).alias("depth")
     )
-    return (
-        steps.select(
-            F.expr(_node("w", "depth")).alias("node"),
-            F.expr("substring(w, depth + 1, 1)").alias("ch"),
-            F.expr(_bit("substring(w, depth + 2)")).alias("bit"),
-        )
-        .groupBy("node", "ch")
-        .agg(F.count("*").alias("n_words"), F.bit_or("bit").alias("ahead"))
+    edges = steps.select(
+        F.expr(_edge("w", "depth")).alias("edge"), F.expr(_bit("substring(w, depth + 2)")).alias("bit")
     )
+    return edges.groupBy("edge").agg(F.bit_or("bit").alias("ahead"))
 
 
 def _branched(words: DataFrame, edges: DataFrame) -> DataFrame:
     """One-edit states: every branch off a word's own path that may lead to the rest of the word."""
     own = (
         _both_ways(words)
-        .select("back", "w", "n", F.explode(F.expr("sequence(length(w) DIV 2, length(w))")).alias("depth"))
+        .select("back", "w", F.explode(F.expr("sequence(length(w) DIV 2, length(w))")).alias("depth"))
         .select(
-            "back", "w", "n", "depth",
-            F.expr(_node("w", "depth")).alias("node"),
-            F.expr("substring(w, depth + 1, 1)").alias("mine"),
-            F.expr(_bit("substring(w, depth + 2)")).alias("if_replaced"),
-            F.expr(_bit("substring(w, depth + 1)")).alias("if_inserted"),
+            "back", "w", "depth",
+            F.expr("ascii(substring(w, depth + 1, 1))").alias("mine"),
+            F.expr(_place("substring(w, depth + 2)")).alias("if_replaced"),
+            F.expr(_place("substring(w, depth + 1)")).alias("if_inserted"),
         )
     )
-    # A pair of equal length is found from its smaller word, others from the shorter one.
-    replaced = (F.col("mine") != "") & (F.col("ch") > F.col("mine")) & (F.expr("ahead & if_replaced") != 0)
-    inserted = F.expr("ahead & if_inserted") != 0
-    met = own.join(edges, "node").where(F.col("ch") != F.col("mine")).where(replaced | inserted)
-    target = F.explode(
-        F.array_compact(
-            F.array(
-                F.when(replaced, F.expr("concat(left(w, depth), ch, substring(w, depth + 2))")),
-                F.when(inserted, F.expr("concat(left(w, depth), ch, substring(w, depth + 1))")),
-            )
-        )
-    )
-    return _with_end(met.select("back", "w", "n", target.alias("target"), (F.col("depth") + 1).alias("depth"), "n_words"))
+    # A hash join: no node has more edges than there are letters, so that side has no hot key.
+    met = own.join(edges.hint("shuffle_hash"), F.expr(_node("w", "depth")) == F.expr("edge & -256L"))
+    ch = F.expr("edge & 255L")
+    # A pair of equal length is found from its smaller word, others from the shorter one; ``mine`` is 0 at the end.
+    replaced = (F.col("mine") != 0) & (ch > F.col("mine")) & F.expr("ahead & shiftleft(1L, if_replaced) != 0")
+    inserted = (ch != F.col("mine")) & F.expr("ahead & shiftleft(1L, if_inserted) != 0")
+    kinds = met.where(replaced | inserted).select(
+        "back", "w", "depth", "ahead", F.char(ch).alias("ch"),
+        F.explode(F.when(replaced & inserted, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.when(replaced, 2).otherwise(1)))).alias("skip"),
+    )
+    target = F.expr("concat(left(w, depth), ch, substring(w, depth + skip))")
+    return _with_end(kinds.select("back", "w", target.alias("target"), (F.col("depth") + 1).alias("depth"), "ahead"))
 
 
 def _with_end(states: DataFrame) -> DataFrame:
-    ended = (F.col("n_words") == 1) | (F.col("depth") >= F.length("target"))
-    return states.withColumn("ended", ended).drop("n_words")
+    ended = (F.bit_count("ahead") <= FEW_AHEAD) | (F.col("depth") >= F.length("target"))
+    return states.withColumn("ended", ended).drop("ahead")
 
 
 def _one_level(states: DataFrame, edges: DataFrame) -> DataFrame:
-    ahead = states.select(
-        "back", "w", "n", "target", "depth",
-        F.expr(_node("target", "depth")).alias("node"),
-        F.expr("substring(target, depth + 1, 1)").alias("ch"),
-        F.expr(_bit("substring(target, depth + 2)")).alias("rest"),
-    )
-    met = ahead.join(edges, ["node", "ch"]).where(F.expr("ahead & rest") != 0)
-    return _with_end(met.select("back", "w", "n", "target", (F.col("depth") + 1).alias("depth"), "n_words"))
+    met = states.join(edges.hint("shuffle_hash"), F.expr(_edge("target", "depth")) == F.col("edge"))
+    met = met.where(F.expr(f"ahead & {_bit('substring(target, depth + 2)')} != 0"))
+    return _with_end(met.select("back", "w", "target", (F.col("depth") + 1).alias("depth"), "ahead"))
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n): both directions of every pair one inserted, deleted or replaced code point apart."""
-    edges = cut(trie_edges(words))
-    states = cut(_branched(words, edges))
-    found = []
-    while not states.isEmpty():
+    edges = materialize(trie_edges(words), "trie-edges")
+    states = materialize(_branched(words, edges), "frontier")
+    found = [states.where("ended")]
+    while not (waiting := states.where("NOT ended")).isEmpty():
+        states = materialize(_one_level(waiting, edges), "frontier")
         found.append(states.where("ended"))
-        states = cut(_one_level(states.where("NOT ended"), edges))
-    if not found:
-        found = [states]
     ends = reduce(DataFrame.union, found).select(
-        F.expr("IF(back = 0, w, reverse(w))").alias("word"), "n", F.expr("IF(back = 0, target, reverse(target))").alias("near")
+        F.expr("IF(back = 0, w, reverse(w))").alias("word"), F.expr("IF(back = 0, target, reverse(target))").alias("near")
     )
     known = words.select(F.col("word").alias("near"), F.col("n").alias("near_n"))
-    pairs = cut(ends.distinct().join(known, "near").select("word", "n", "near", "near_n"))
-    return pairs.union(pairs.select("near", "near_n", "word", "n"))
+    pairs = materialize(ends.join(known, "near").distinct().join(words, "word"), "near-words")
+    return pairs.select("word", "n", "near", "near_n").union(pairs.select("near", "near_n", "word", "n"))
 
 
 def _roots(forms: DataFrame) -> DataFrame:
@@ -173,7 +174,7 @@ def _roots(forms: DataFrame) -> DataFrame:
 
 def spelling_groups(docs: DataFrame, ratio: int = FORM_RATIO) -> DataFrame:
     """One row per word: word, form, root, n, n_near and form_n."""
-    words = cut(word_counts(docs))
+    words = materialize(word_counts(docs), "words")
     best = near_words(words).groupBy("word", "n").agg(
         F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("rank"), "near")).alias("best")
     )
