@@ -26,8 +26,8 @@ Centers = list[list[float]]
 # small enough that a task's rows stay far below executor memory.  The number of partitions,
 # and through it the starting points of a fit, follows from it; wide rows want fewer.
 ROWS_PER_PARTITION = 100_000
-#: Fits of a sweep that run side by side; they share one held table.
-SWEEP_PARALLELISM = 3
+#: Fits of a sweep that run side by side; they share one held table, so a whole sweep may.
+SWEEP_PARALLELISM = len(fixed.SWEEP_K)
 
 
 def stable_layout(
@@ -43,14 +43,17 @@ def stable_layout(
     return table.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
-def kmeans(k: int, seed: int = fixed.SEED, max_iterations: int = fixed.MAX_ITERATIONS) -> KMeans:
-    return KMeans(
+def kmeans(
+    k: int, seed: int = fixed.SEED, max_iterations: int = fixed.MAX_ITERATIONS, weight: str | None = None
+) -> KMeans:
+    estimator = KMeans(
         k=k,
         seed=seed,
         maxIter=max_iterations,
         featuresCol="scaled_features",
         predictionCol="cluster_id",
     )
+    return estimator if weight is None else estimator.setWeightCol(weight)
 
 
 def as_vectors(scaled: DataFrame, scaled_columns: Sequence[str]) -> DataFrame:
@@ -72,9 +75,13 @@ def k_sweep(
     max_iterations: int = fixed.MAX_ITERATIONS,
     parallelism: int = SWEEP_PARALLELISM,
     rows_per_partition: int = ROWS_PER_PARTITION,
+    weight: str | None = None,
 ) -> tuple[DataFrame, dict[int, Centers]]:
     """Cost and silhouette for every K, and the fitted centers.
 
+    A row of ``weight`` w counts as w equal rows in the fit and in both measures, and is one row of
+    the held table; one without a positive weight is left out.
+
     ``scaled`` must be a materialised table; rows with an unusable feature are left out.
     One laid-out table of vectors is held for all fits: as it is held already, no fit
     keeps a copy of its own, and what is lost of it is read again from storage.  All
@@ -85,18 +92,21 @@ def k_sweep(
     comes from an accumulator, which counts a task twice if it runs twice.
     """
     spark = scaled.sparkSession
-    usable = scaled.select(*keys, *scaled_columns).where(all_usable(scaled_columns))
+    weights = [] if weight is None else [weight]
+    usable = scaled.select(*keys, *scaled_columns, *weights).where(all_usable(scaled_columns))
+    if weight is not None:
+        usable = usable.where(F.col(weight) > 0)
     layout = stable_layout(usable, keys, rows_per_partition)
-    with held(as_vectors(layout, scaled_columns).select("scaled_features", *scaled_columns)) as vectors:
+    with held(as_vectors(layout, scaled_columns).select("scaled_features", *scaled_columns, *weights)) as vectors:
 
         def fit(k: int) -> tuple[int, Centers]:
-            return k, center_lists(kmeans(k, seed, max_iterations).fit(vectors))
+            return k, center_lists(kmeans(k, seed, max_iterations, weight).fit(vectors))
 
         with ThreadPool(max(1, min(parallelism, len(ks)))) as pool:
             # The largest K takes longest, so it starts first.
             fitted = pool.map(inheritable_thread_target(spark)(fit), sorted(ks, reverse=True), 1)
         centers = dict(sorted(fitted))
-        records = sweep_scores(vectors, scaled_columns, centers)
+        records = sweep_scores(vectors, scaled_columns, centers, weight)
     return spark.createDataFrame(records, SWEEP_SCHEMA), centers
 
 

@@ -1,7 +1,8 @@
 """Assignment, cost and silhouette, one form each for every width and number of clusters.
 
 An assigned table carries the scaled feature columns and ``cluster_id``.  A row with a
-feature that is NULL, NaN or infinite has no cluster and counts in no measure.
+feature that is NULL, NaN or infinite has no cluster and counts in no measure.  Where ``weight``
+names a column, a row of weight w counts as w equal rows, and one without a positive weight not at all.
 """
 
 from __future__ import annotations
@@ -30,16 +31,29 @@ def assign(scaled: DataFrame, scaled_columns: Sequence[str], centers) -> DataFra
     )
 
 
-def wssse(assigned: DataFrame) -> DataFrame:
+def _weighed(rows: DataFrame, weight: str | None) -> DataFrame:
+    return rows if weight is None else rows.where(F.col(weight) > 0)
+
+
+def _times(value: Column, weight: str | None) -> Column:
+    return value if weight is None else value * F.col(weight)
+
+
+def _rows(weight: str | None) -> Column:
+    return F.count(F.lit(1)) if weight is None else F.sum(weight)
+
+
+def wssse(assigned: DataFrame, weight: str | None = None) -> DataFrame:
     """One row: the within-set sum of squared errors."""
-    return assigned.agg(F.sum("d2").alias("wssse"))
+    return _weighed(assigned, weight).agg(F.sum(_times(F.col("d2"), weight)).alias("wssse"))
 
 
-def _sums(width: int) -> list[Column]:
+def _sums(width: int, weight: str | None = None) -> list[Column]:
+    slots = [F.get(F.col(_FEATURES), F.lit(i)) for i in range(width)]
     return [
-        F.count(F.lit(1)).alias("n"),
-        F.sum(squared_norm(F.col(_FEATURES))).alias("norms"),
-        *[F.sum(F.get(F.col(_FEATURES), F.lit(i))).alias(f"s{i}") for i in range(width)],
+        _rows(weight).alias("n"),
+        F.sum(_times(squared_norm(F.col(_FEATURES)), weight)).alias("norms"),
+        *[F.sum(_times(slot, weight)).alias(f"s{i}") for i, slot in enumerate(slots)],
     ]
 
 
@@ -47,15 +61,17 @@ def _total(width: int) -> Column:
     return F.array(*[f"s{i}" for i in range(width)]).alias("total")
 
 
-def cluster_sums(assigned: DataFrame, scaled_columns: Sequence[str]) -> DataFrame:
+def cluster_sums(
+    assigned: DataFrame, scaled_columns: Sequence[str], weight: str | None = None
+) -> DataFrame:
     """Per cluster: row count, sum of squared norms and the sum vector.
 
     Plain sums, combined on the map side: the shuffle carries one row per cluster
     and task, however uneven the clusters are.
     """
     width = len(scaled_columns)
-    rows = _with_array(assigned, scaled_columns).where(F.col("cluster_id").isNotNull())
-    return rows.groupBy("cluster_id").agg(*_sums(width)).select("cluster_id", "n", "norms", _total(width))
+    rows = _weighed(_with_array(assigned, scaled_columns), weight).where(F.col("cluster_id").isNotNull())
+    return rows.groupBy("cluster_id").agg(*_sums(width, weight)).select("cluster_id", "n", "norms", _total(width))
 
 
 def cost_from_sums(sums: Sequence[Row], centers) -> float:
@@ -105,7 +121,10 @@ def _row_silhouette(features: Column, own: Column, sums: Sequence[Row]) -> Colum
 
 
 def silhouette(
-    assigned: DataFrame, scaled_columns: Sequence[str], sums: Sequence[Row] | None = None
+    assigned: DataFrame,
+    scaled_columns: Sequence[str],
+    sums: Sequence[Row] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row: the mean squared-Euclidean silhouette, in two passes and without pairs.
 
@@ -113,32 +132,40 @@ def silhouette(
     cluster counts 0; with a single non-empty cluster the value is NULL.
     """
     if sums is None:
-        sums = cluster_sums(assigned, scaled_columns).collect()
+        sums = cluster_sums(assigned, scaled_columns, weight).collect()
     if len(sums) < 2:
         return assigned.agg(F.lit(None).cast("double").alias("silhouette"))
-    rows = _with_array(assigned, scaled_columns).where(F.col("cluster_id").isNotNull())
+    rows = _weighed(_with_array(assigned, scaled_columns), weight).where(F.col("cluster_id").isNotNull())
     score = _row_silhouette(F.col(_FEATURES), F.col("cluster_id"), sums)
-    return rows.agg(F.avg(score).alias("silhouette"))
+    return rows.agg(_mean(score, weight).alias("silhouette"))
+
+
+def _mean(score: Column, weight: str | None) -> Column:
+    return F.avg(score) if weight is None else F.sum(score * F.col(weight)) / F.sum(weight)
 
 
 def sweep_scores(
-    scaled: DataFrame, scaled_columns: Sequence[str], models: Mapping[int, Sequence[Sequence[float]]]
+    scaled: DataFrame,
+    scaled_columns: Sequence[str],
+    models: Mapping[int, Sequence[Sequence[float]]],
+    weight: str | None = None,
 ) -> list[tuple[int, float, float | None]]:
     """(K, cost, silhouette) of every model, in two passes over ``scaled`` for all of them.
 
     The driver sees one row per cluster of each model.
     """
-    rows = _with_array(scaled, scaled_columns)
+    rows = _weighed(_with_array(scaled, scaled_columns), weight)
+    weights = [] if weight is None else [weight]
     features, width = F.col(_FEATURES), len(scaled_columns)
     nearest = [
         F.struct(F.lit(k).alias("k"), nearest_center(features, centers)["cluster_id"].alias("cluster_id"))
         for k, centers in models.items()
     ]
     found = (
-        rows.select(_FEATURES, F.explode(F.array(*nearest)).alias("at"))
+        rows.select(_FEATURES, *weights, F.explode(F.array(*nearest)).alias("at"))
         .where(F.col("at.cluster_id").isNotNull())
         .groupBy(F.col("at.k").alias("k"), F.col("at.cluster_id").alias("cluster_id"))
-        .agg(*_sums(width))
+        .agg(*_sums(width, weight))
         .select("k", "cluster_id", "n", "norms", _total(width))
         .collect()
     )
@@ -148,10 +175,11 @@ def sweep_scores(
     if several:
         own = rows.select(
             _FEATURES,
+            *weights,
             *[nearest_center(features, models[k])["cluster_id"].alias(f"own_{k}") for k in several],
         )
         means = own.where(F.col(f"own_{several[0]}").isNotNull()).agg(
-            *[F.avg(_row_silhouette(features, F.col(f"own_{k}"), sums[k])).alias(str(k)) for k in several]
+            *[_mean(_row_silhouette(features, F.col(f"own_{k}"), sums[k]), weight).alias(str(k)) for k in several]
         )
         scores = {int(k): v for k, v in means.first().asDict().items()}
     return [(k, cost_from_sums(sums[k], centers), scores.get(k)) for k, centers in models.items()]

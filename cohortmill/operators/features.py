@@ -40,14 +40,16 @@ DEFAULT_FEATURES = (
 )
 
 
-def feature_table(joined: DataFrame, min_popularity: int = fixed.MIN_POPULARITY) -> DataFrame:
-    """The six published columns of every entity that passes the final thresholds.
+def feature_table(
+    joined: DataFrame, min_popularity: int = fixed.MIN_POPULARITY, extra: Sequence[str] = ()
+) -> DataFrame:
+    """The six published columns, and ``extra`` ones, of every entity that passes the final thresholds.
 
     The thresholds apply to the rounded rating.  They only touch aggregate
     columns, so Catalyst evaluates them below the metadata join.
     """
     rounded = joined.withColumn("rating_percent", F.round("rating_percent", 2))
-    return rounded.select(*FEATURE_TABLE_COLUMNS).where(
+    return rounded.select(*FEATURE_TABLE_COLUMNS, *extra).where(
         F.col("rating_percent").between(fixed.MIN_RATING, fixed.MAX_RATING)
         & (F.col("popularity") >= min_popularity)
         & (F.col("playtime_hours") >= 0)

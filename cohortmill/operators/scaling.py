@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -49,22 +50,29 @@ def scaler_params(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return moments.select(F.inline(F.array(*moments.columns)))
 
 
-def fit_standardizer(df: DataFrame, columns: Sequence[str]) -> Standardizer:
+def fit_standardizer(df: DataFrame, columns: Sequence[str], weight: str | None = None) -> Standardizer:
     """Mean and sample deviation of every column over the usable rows, in one aggregate of one vector.
 
-    A row with a NULL, NaN or infinite feature is left out, for any number of columns.
+    A row with a NULL, NaN or infinite feature is left out, for any number of columns.  A row of
+    ``weight`` w counts as w equal rows; one without a positive weight is left out.
     Brings one number pair per column to the driver, as any scaler fit does.
     """
     features = F.array(*[F.col(c).cast("double") for c in columns])
-    usable = df.where(is_usable(features)).select(array_to_vector(features).alias("v"))
-    found = usable.agg(
-        F.count(F.lit(1)).alias("n"), Summarizer.metrics("mean", "std").summary(F.col("v")).alias("s")
+    w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    usable = df.where(is_usable(features)).select(array_to_vector(features).alias("v"), w.alias("w")).where("w > 0")
+    # A grouped aggregate has no row where there is nothing to summarise.
+    found = usable.groupBy(F.lit(1)).agg(
+        F.sum("w").alias("n"),
+        F.sum(F.col("w") * F.col("w")).alias("squares"),
+        Summarizer.metrics("mean", "variance").summary(F.col("v"), F.col("w")).alias("s"),
     ).first()
-    if not found["n"]:
+    if found is None:
         return Standardizer(tuple(columns), (0.0,) * len(columns), (0.0,) * len(columns))
-    return Standardizer(
-        tuple(columns), tuple(map(float, found["s"]["mean"])), tuple(map(float, found["s"]["std"]))
-    )
+    n = found["n"]
+    # The summary divides by n - squares / n; weights that stand for rows divide by n - 1.
+    share = (n - found["squares"] / n) / (n - 1) if n > 1 else 0.0
+    deviations = tuple(math.sqrt(max(0.0, float(x) * share)) for x in found["s"]["variance"])
+    return Standardizer(tuple(columns), tuple(map(float, found["s"]["mean"])), deviations)
 
 
 def standardize(df: DataFrame, scaler: Standardizer) -> DataFrame:

@@ -666,3 +666,27 @@ ORACLES["vector_silhouette"] = (
     )
     + f"SELECT {half_up('silhouette', 6)} AS silhouette FROM silhouettes"
 )
+
+# --- weighted rows: the same numbers from every row of the plain join ------------
+
+_NUMBERED = "numbered AS (SELECT *, row_number() OVER () AS rid FROM scaled)"
+_FANNED = (
+    *_REPEATED,
+    JOINED,
+    FEATURE_TABLE,
+    LOG_FEATURES,
+    SCALED,
+    _NUMBERED,
+    nearest(LINE_CENTERS, SCALED_COLUMNS, "numbered"),
+    pairwise_silhouette(SCALED_COLUMNS, "rid"),
+)
+ORACLES["weighted_measures"] = stack(*_FANNED) + " UNION ALL ".join(
+    f"SELECT '{name}' AS measure, {half_up(value, 6)} AS value FROM {source}"
+    for name, value, source in (
+        ("rows", "CAST(COUNT(*) AS DOUBLE)", "scored"),
+        ("wssse", "SUM(d2)", "scored"),
+        ("silhouette", "MAX(silhouette)", "silhouettes"),
+        *[(f"mean_{c}", f"AVG({c})", "log_features") for c in FEATURES],
+        *[(f"deviation_{c}", f"STDDEV_SAMP({c})", "log_features") for c in FEATURES],
+    )
+)

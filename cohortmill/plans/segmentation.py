@@ -22,6 +22,7 @@ from cohortmill.operators.clustering import (
     k_sweep,
     select_k,
 )
+from cohortmill.operators.metadata import FANOUT_SALTS
 from cohortmill.operators.quality import cross_checks, quality_checks, usable_check
 from cohortmill.operators.sampling import plot_sample
 from cohortmill.operators.scaling import fit_standardizer, scaled_names, standardize
@@ -39,7 +40,8 @@ class Settings:
     metadata: cleaning.MetadataColumns = cleaning.MetadataColumns()
     rules: cleaning.CleaningRules = cleaning.CleaningRules()
     features: tuple[features.Feature, ...] = features.DEFAULT_FEATURES
-    duplicates: str = "first"
+    duplicates: Literal["first", "keep"] = "first"
+    fanout_salts: int = FANOUT_SALTS  # join keys that a repeated metadata key is spread over
     min_popularity: int = fixed.MIN_POPULARITY
     ks: tuple[int, ...] = fixed.SWEEP_K
     k: int | None = None  # None: the K with the best silhouette
@@ -85,8 +87,10 @@ def entity_feature_table(
     typed = cleaning.typed_events(events, settings.events, settings.rules)
     per_entity = entities.entity_features(entities.entity_aggregate(typed, settings.rules))
     typed_meta = cleaning.clean_metadata(meta, settings.metadata, settings.rules.key_type)
-    joined = metadata.attach_metadata(per_entity, typed_meta, settings.duplicates)
-    return features.feature_table(joined, settings.min_popularity)
+    if settings.duplicates == "first":
+        return features.feature_table(metadata.attach_metadata(per_entity, typed_meta), settings.min_popularity)
+    weighted = metadata.attach_metadata(per_entity, typed_meta, "weight", settings.fanout_salts)
+    return metadata.unfold(features.feature_table(weighted, settings.min_popularity, (metadata.COPIES,)))
 
 
 def segment(events: DataFrame, meta: DataFrame, settings: Settings = Settings()) -> Segmentation:
@@ -112,19 +116,31 @@ def _segment(events: DataFrame, meta: DataFrame, settings: Settings, scratch: Sc
         entities.audited_entity_aggregate(typed, settings.rules), "entity-aggregate", scratch
     )
     per_entity = entities.entity_features(entities.kept_entities(audited))
+    # Metadata rows that come back stay one weighted row until the results are unfolded.
+    weight = metadata.COPIES if settings.duplicates == "keep" else None
+    weights = () if weight is None else (weight,)
     joined = metadata.attach_metadata(
-        per_entity, cleaning.clean_metadata(meta, settings.metadata, settings.rules.key_type), settings.duplicates
+        per_entity,
+        cleaning.clean_metadata(meta, settings.metadata, settings.rules.key_type),
+        "weight" if weight else "first",
+        settings.fanout_salts,
     )
-    table = materialize(features.feature_table(joined, settings.min_popularity), "feature-table", scratch)
+    table = materialize(features.feature_table(joined, settings.min_popularity, weights), "feature-table", scratch)
 
     names = features.feature_names(settings.features)
     inputs = features.with_features(table, settings.features)
     unusable = materialize(
-        inputs.agg(F.count_if(~all_usable(names)).alias("unusable_rows")), "unusable", scratch
+        inputs.agg(
+            F.coalesce(F.sum(F.when(~all_usable(names), F.col(weight) if weight else F.lit(1))), F.lit(0))
+            .cast("bigint")
+            .alias("unusable_rows")
+        ),
+        "unusable",
+        scratch,
     )
     if settings.unusable == "error" and (n := unusable.first()[0]):
         raise ValueError(f"{n} rows have a feature that is NULL, NaN or infinite")
-    scaler = fit_standardizer(inputs, names)
+    scaler = fit_standardizer(inputs, names, weight)
     sweep, centers = k_sweep(
         standardize(inputs, scaler),
         scaled_names(names),
@@ -134,11 +150,14 @@ def _segment(events: DataFrame, meta: DataFrame, settings: Settings, scratch: Sc
         max_iterations=settings.max_iterations,
         parallelism=settings.parallelism,
         rows_per_partition=settings.rows_per_partition,
+        weight=weight,
     )
     k = select_k(centers, sweep, settings.k)
     model = make_model(settings.features, scaler.means, scaler.deviations, centers[k])
 
     scored = materialize(model.score(table, "skip"), "scored-table", scratch)
+    if weight:
+        scored = metadata.unfold(scored, weight)
     clustered = clustered_table(scored)
     # One row per cluster each: written once, then shared by every later table.
     sizes = materialize(profile.cluster_sizes(clustered), "sizes", scratch).orderBy("cluster_id")

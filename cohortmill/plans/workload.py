@@ -347,6 +347,26 @@ def silhouette_fixed(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(silhouette(scored_lines(spark, folder), SCALED), "silhouette")
 
 
+@query
+def weighted_measures(spark: SparkSession, folder: str) -> DataFrame:
+    """Moments, cost and silhouette where repeated metadata rows are weights instead of rows."""
+    per_entity = entities.entity_features(entity_agg(spark, folder))
+    repeated = cleaning.clean_metadata(bindings.repeated_part_metadata(spark, folder))
+    joined = metadata.attach_metadata(per_entity, repeated, "weight")
+    copies = metadata.COPIES
+    table = materialize(with_features(feature_rows(joined, extra=(copies,))), "weighted-features")
+    scaler = fit_standardizer(table, NAMES, copies)
+    assigned = materialize(assign(standardize(table, scaler), SCALED, bindings.LINE_CENTERS), "weighted-rows")
+    measures = {
+        "rows": float(table.agg(F.sum(copies)).first()[0] or 0),
+        "wssse": wssse(assigned, copies).first()[0],
+        "silhouette": silhouette(assigned, SCALED, weight=copies).first()[0],
+        **{f"mean_{c}": m for c, m in zip(NAMES, scaler.means, strict=True)},
+        **{f"deviation_{c}": s for c, s in zip(NAMES, scaler.deviations, strict=True)},
+    }
+    return rounded(spark.createDataFrame(list(measures.items()), "measure string, value double"), "value")
+
+
 def fitted_lines(spark: SparkSession, folder: str, k: int = 4) -> tuple[DataFrame, list]:
     """Scaled rows and the centers of a fit on their stable layout."""
     scaled = scaled_lines(spark, folder)
