@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -42,13 +43,18 @@ def typed_events(
     raw: DataFrame,
     columns: EventColumns = EventColumns(),
     rules: CleaningRules = CleaningRules(),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Tolerantly cast events; rows that fail a cast carry NULL and are still present."""
+    """Tolerantly cast events; rows that fail a cast carry NULL and are still present.
+
+    Raw columns in ``keep`` travel along as they are.
+    """
     return raw.select(
         int_key(named(columns.key), is_text(raw, columns.key), rules.key_type).alias("app_id"),
         named(columns.name).alias("app_name"),
         truth_flag(named(columns.flag), rules.true_word).alias("is_recommended"),
         number(named(columns.measure), is_text(raw, columns.measure)).alias("playtime_forever"),
+        *[named(c) for c in keep],
     )
 
 

@@ -44,10 +44,13 @@ USER_CENTERS = (
 )
 
 
-def line_events(spark: SparkSession, folder: str, half: int | None = None) -> DataFrame:
+def line_events(
+    spark: SparkSession, folder: str, half: int | None = None, time: str | None = None
+) -> DataFrame:
     """All-text events with bad keys, missing flags, missing names and bad measures.
 
     ``half`` 0 or 1 gives those of the even or the odd orders, as the events of one of two runs.
+    ``time`` names a further column for when an event happened.
     """
     lines = read_table(spark, folder, "lineitem")
     if half is not None:
@@ -70,6 +73,7 @@ def line_events(spark: SparkSession, folder: str, half: int | None = None) -> Da
         F.when((line == 5) & (F.col("l_quantity") == 13), "n/a")
         .otherwise((F.col("l_quantity") * 60).cast("string"))
         .alias("author.playtime_forever"),
+        *([] if time is None else [F.col("l_shipdate").alias(time)]),
     )
 
 

@@ -213,6 +213,8 @@ ORACLES["export_roundtrip"] = stack(*TO_SCORED) + f"SELECT {CLUSTERED} FROM scor
 ORACLES["export_clustered"] = ORACLES["export_roundtrip"]
 ORACLES["score_batch"] = ORACLES["export_roundtrip"]
 ORACLES["score_stream"] = ORACLES["export_roundtrip"]
+ORACLES["stream_entity_scores"] = ORACLES["export_roundtrip"]
+ORACLES["stream_features"] = stack(*TO_FEATURES) + "SELECT * FROM feature_table"
 
 ORACLES["raw_count"] = "SELECT COUNT(*) AS raw_rows FROM lineitem"
 

@@ -57,6 +57,15 @@ from cohortmill.sources.tables import (
     read_table,
 )
 from cohortmill.storage import materialize, scratch_path
+from cohortmill.streaming.entities import (
+    current_scores,
+    current_states,
+    read_event_stream,
+    running_states,
+    scored_changes,
+    state_features,
+    write_states,
+)
 from cohortmill.streaming.scoring import read_feature_stream, score_rows, write_scored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -706,6 +715,36 @@ def score_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(CLUSTERED_SCHEMA).parquet(scored)
 
 
+def streamed_lines(spark: SparkSession, folder: str, time: str | None, each=None) -> str:
+    """The order lines as four files of events, taken one file a trigger; where the states are."""
+    incoming, path = scratch_path(spark, "incoming-events"), scratch_path(spark, "states")
+    events = bindings.line_events(spark, folder, time="happened")
+    events.repartitionByRange(4, "happened").write.parquet(incoming)
+    stream = read_event_stream(spark, incoming, events.schema, files_per_trigger=1)
+    # No event is late here, whatever the order in which the files are taken.
+    states = running_states(stream, LINES, time, window="365 days", delay="7300 days")
+    then = None if each is None else each(path)
+    write_states(states, path, scratch_path(spark, "state-progress"), then, once=True).awaitTermination()
+    return path
+
+
+@query
+def stream_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Feature rows from states that a stream kept per entity and year."""
+    path = streamed_lines(spark, folder, "happened")
+    return state_features(current_states(spark, path), bindings.part_metadata(spark, folder), LINES)
+
+
+@query
+def stream_entity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Entities scored by a given model whenever a trigger changed them."""
+    model = fixed_model(materialize(line_features(spark, folder), "feature-table"), LINES, bindings.LINE_CENTERS)
+    scored = scratch_path(spark, "entity-scores")
+    meta = bindings.part_metadata(spark, folder)
+    streamed_lines(spark, folder, None, lambda path: scored_changes(path, scored, meta, model, LINES))
+    return current_scores(spark, scored)
+
+
 @query
 def score_ml_model(spark: SparkSession, folder: str) -> DataFrame:
     """Spark ML stages fitted, saved, loaded and applied."""
