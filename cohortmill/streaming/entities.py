@@ -58,7 +58,8 @@ def running_states(
     if time is None:
         typed, groups = cleaning.typed_events(events, settings.events, settings.rules), ["app_id"]
     else:
-        timed = events.withWatermark(time, delay)
+        # A time without a zone is one of the session's zone.
+        timed = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
         typed = cleaning.typed_events(timed, settings.events, settings.rules, keep=(time,))
         groups = ["app_id", F.window(time, window)]
     states = typed.groupBy(*groups).agg(
