@@ -6,13 +6,13 @@
    and each text's values are scaled to length 1 beside a constant of ``CONSTANT``.
 2. Training is follow-the-regularised-leader with a step of its own for each place.  Labelled rows are
    dealt to ``REPLICAS`` by a digest; each replica passes over its rows, in the order of another digest,
-   from the same state; the states are averaged by an aggregate, and the next epoch begins there.
+   from the same state, one row at a time; the states are averaged by an aggregate, and the next epoch begins there.
    States travel as whole numbers, so sums do not depend on the order in which tasks end.
 3. A score is the logistic function of one sparse dot product.
 
 Labels are learnt from a sample of at most about ``train_rows`` rows (a parameter), never from rows with
-crc32(doc_id) mod 5 = 0.  Only texts are inputs of a score; whole texts are read.  A replica holds the
-hashed features of its rows, ``train_rows / REPLICAS``, and the driver the places with a weight.
+crc32(doc_id) mod 5 = 0.  Only texts are inputs of a score; whole texts are read.  A replica holds its
+state and a batch of rows, and the driver the places with a weight.
 
 Defined results: a null text is an empty one and is scored by the constant alone.  Labels other than 0 and 1
 are ignored; of contrary labels of one id the lower one holds; a null doc_id is never trained on
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from cohortmill.llm import textbytes as tb
 from cohortmill.llm.lineage import cut
 
-TRAIN_ROWS, BITS, NGRAMS, REPLICAS, EPOCHS = 10_000, 18, 3, 8, 8
+TRAIN_ROWS, BITS, NGRAMS, REPLICAS, EPOCHS = 10_000, 18, 3, 4, 5
 #: Step size, its start, and the two penalties of the leader; value of the constant feature.
 ALPHA, BETA, L1, L2, CONSTANT = 5.0, 1.0, 0.02, 0.02, 1.0
 #: State values travel as multiples of this.
@@ -164,12 +164,13 @@ def fit(
                 ["label", "replica", "turn", "places", "values"],
             )
 
-    sample = cut(
-        tb.map_texts(
-            _labelled(docs, labels, column, train_rows), hashed,
-            "label int, replica int, turn bigint, places array<int>, values array<float>",
-        )
+    hashed_rows = tb.map_texts(
+        _labelled(docs, labels, column, train_rows), hashed,
+        "label int, replica int, turn bigint, places array<int>, values array<float>",
     )
+    # Dealt out and put in order once; every epoch then reads the stored partitions in place.
+    dealt = hashed_rows.repartition(REPLICAS, "replica").sortWithinPartitions("replica", "turn", "label")
+    sample = cut(dealt.select("label", "replica", "places", "values"))
     seen = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(seen) < 2:
         odds = (seen.get(1, 0) + 0.5) / (seen.get(0, 0) + 0.5)
@@ -187,33 +188,34 @@ def fit(
 def _epoch(sample: DataFrame, state: tuple, bits: int) -> tuple:
     """Average of the replicas' states after a pass over their rows, each from ``state``."""
 
-    def replica(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("turn", "ascending"), ("label", "ascending")]).combine_chunks()
-        leader = Leader(bits, *state)
-        places, values = rows["places"].combine_chunks(), rows["values"].combine_chunks()
-        first = np.concatenate([[0], np.cumsum(places.value_lengths().to_numpy())])
-        place, value = places.flatten().to_numpy(), values.flatten().to_numpy().astype(np.float64)
-        for i, label in enumerate(rows["label"].to_pylist()):
-            span = slice(first[i], first[i + 1])
-            leader.learn(place[span], value[span], label)
+    def state_of(leader: Leader) -> pa.RecordBatch:
         touched = np.flatnonzero(leader.n)
-        return pa.table(
-            {
-                "place": pa.array(touched, pa.int32()),
-                "z": pa.array(np.round(leader.z[touched] / UNIT).astype(np.int64)),
-                "n": pa.array(np.round(leader.n[touched] / UNIT).astype(np.int64)),
-            }
-        )
-
-    states = sample.groupBy("replica").applyInArrow(replica, "place int, z bigint, n bigint")
+        columns = [touched.astype(np.int32), *(np.round(x[touched] / UNIT).astype(np.int64) for x in (leader.z, leader.n))]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["place", "z", "n"])
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The states of the replicas of a partition, one after the other."""
+        now, leader = None, None
+        for batch in batches:
+            places, values = batch.column("places"), batch.column("values")
+            first = np.concatenate([[0], np.cumsum(places.value_lengths().to_numpy())])
+            place, value = places.flatten().to_numpy(), values.flatten().to_numpy().astype(np.float64)
+            for i, (replica, label) in enumerate(zip(batch.column("replica").to_pylist(), batch.column("label").to_pylist())):
+                if replica != now:
+                    if leader is not None:
+                        yield state_of(leader)
+                    now, leader = replica, Leader(bits, *state)
+                span = slice(first[i], first[i + 1])
+                leader.learn(place[span], value[span], label)
+        if leader is not None:
+            yield state_of(leader)
+
+    states = sample.mapInArrow(passed, "place int, z bigint, n bigint")
     replicas = sample.select("replica").distinct().count()
-    rows = (
-        states.groupBy("place").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).orderBy("place").toArrow()
-    )  # at most 1 << bits rows
-    scale = UNIT / replicas
-    return tuple(
-        rows[name].to_numpy().astype(kind) * by for name, kind, by in (("place", np.int64, 1), ("z", float, scale), ("n", float, scale))
-    )
+    summed = states.groupBy("place").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow()  # 1 << bits rows at most
+    place, z, n = (summed[name].to_numpy() for name in ("place", "z", "n"))
+    order = np.argsort(place)
+    return place[order].astype(np.int64), z[order] * (UNIT / replicas), n[order] * (UNIT / replicas)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
