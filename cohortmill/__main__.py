@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from cohortmill.plans.segmentation import Settings, export, segment
+from cohortmill.plans.segmentation import Settings, publish, segment
 from cohortmill.session import get_session
 from cohortmill.sources.tables import read_csv_by_header
 
@@ -13,7 +13,7 @@ def main() -> None:
     parser = argparse.ArgumentParser(prog="cohortmill", description=__doc__)
     parser.add_argument("--events", required=True, help="event table, .parquet or CSV with a header")
     parser.add_argument("--metadata", required=True, help="metadata table, .parquet or CSV")
-    parser.add_argument("--out", required=True, help="folder for the exports")
+    parser.add_argument("--out", required=True, help="folder for the exports; its manifests list the committed ones")
     parser.add_argument("--format", choices=("csv", "parquet"), default="csv")
     parser.add_argument("--events-multiline", action="store_true")
     parser.add_argument("--k", type=int, default=None, help="default: best silhouette")
@@ -28,7 +28,7 @@ def main() -> None:
     else:
         events, meta = spark.read.parquet(args.events), spark.read.parquet(args.metadata)
     settings = Settings(k=args.k, duplicates=args.duplicates)
-    export(segment(events, meta, settings), args.out, settings).show(50, truncate=False)
+    publish(segment(events, meta, settings), args.out, settings).show(50, truncate=False)
 
 
 if __name__ == "__main__":

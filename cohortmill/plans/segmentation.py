@@ -211,7 +211,22 @@ def _distinct(settings: Settings) -> tuple[str, ...]:
 def export(
     result: Segmentation, folder: str, settings: Settings = Settings(), title: str = "Clustering summary"
 ) -> DataFrame:
-    """Write all result tables, charts tables, report and dashboard; returns the manifest."""
+    """Write all result tables, charts tables, report and dashboard; returns (table, rows, path).
+
+    The rows are those that the writing jobs counted.  ``publish`` makes such a set visible at once.
+    """
+    return sinks.listing(result.scored.sparkSession, _write_all(result, folder, settings, title))
+
+
+def publish(
+    result: Segmentation, folder: str, settings: Settings = Settings(), title: str = "Clustering summary"
+) -> DataFrame:
+    """Export into a run of its own below ``folder`` and commit its tables together; returns the new manifest."""
+    store = sinks.ExportStore(result.scored.sparkSession, folder)
+    return store.manifest(store.commit(_write_all(result, store.new_run(), settings, title)))
+
+
+def _write_all(result: Segmentation, folder: str, settings: Settings, title: str) -> list[sinks.Written]:
     spark: SparkSession = result.scored.sparkSession
     chosen = result.sweep.where(F.col("K") == result.k)
     small = {
@@ -249,15 +264,18 @@ def export(
         result.clustered, result.statistics, result.sweep, result.labels, result.scored, one_row,
         settings.representatives,
     )
-    writes = [partial(sinks.write_csv, t, f"{folder}/{name}") for name, t in large.items()]
-    writes += [partial(sinks.write_csv, t, f"{folder}/{name}", True) for name, t in small.items()]
+    def table(write, name: str, df: DataFrame, *single_file: bool) -> sinks.Written:
+        path = f"{folder}/{name}"
+        return sinks.Written(name, write(df, path, *single_file), path)
+
+    writes = [partial(table, sinks.write_csv, name, t) for name, t in large.items()]
+    writes += [partial(table, sinks.write_csv, name, t, True) for name, t in small.items()]
     writes += [
-        partial(sinks.write_json_lines, t, f"{folder}/dashboard/{name}", name != "games")
-        for name, t in dashboard.items()
+        partial(table, sinks.write_json_lines, f"dashboard/{name}", t, name != "games") for name, t in dashboard.items()
     ]
     writes.append(partial(sinks.write_lines, report, f"{folder}/metrics_summary"))
     writes.append(partial(result.model.save, spark, f"{folder}/model"))
     # Most of these jobs have one short task; side by side they fill the cluster.
     with ThreadPool(EXPORT_THREADS) as pool:
-        pool.map(inheritable_thread_target(spark)(lambda write: write()), writes, 1)
-    return sinks.manifest(spark, {n: f"{folder}/{n}" for n in (*small, *large)})
+        done = pool.map(inheritable_thread_target(spark)(lambda write: write()), writes, 1)
+    return sorted((w for w in done if w is not None), key=lambda w: w.table)

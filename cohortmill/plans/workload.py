@@ -665,10 +665,13 @@ def export_manifest(spark: SparkSession, folder: str) -> DataFrame:
         "clustered_games": clustered,
         "plot_sample": plot_sample(clustered, n=500),
     }
-    written = {name: scratch_path(spark, name) for name in tables}
-    for name, table in tables.items():
-        sinks.write_csv(table, written[name], single_file=name.startswith("cluster_"))
-    return sinks.manifest(spark, written).select("table", "rows")
+    store = sinks.ExportStore(spark, scratch_path(spark, "exports"))
+    run = store.new_run()
+    written = [
+        sinks.Written(name, sinks.write_csv(table, f"{run}/{name}", name.startswith("cluster_")), f"{run}/{name}")
+        for name, table in tables.items()
+    ]
+    return store.manifest(store.commit(written)).select("table", "rows")
 
 
 @query
