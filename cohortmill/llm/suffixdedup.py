@@ -265,17 +265,20 @@ def reaches(
         left[range(n), range(n)] = np.where(own, lefts, 0)
         valid = right + left >= length
         return list(zip((left * valid).max(axis=1).tolist(), (right * valid).max(axis=1).tolist()))
-    # Larger groups: for each split of the string, members with equal left and right parts are classes.
-    most, least = np.full(n, -1), np.full(n, -1)
+    # Larger groups: at a split into l bytes to the left and the others to the right, members with equal
+    # parts on both sides are a class.  Classes change only where l passes a prefix that neighbours share.
+    most, least = np.full(n, -1), np.full(n, length + 1)
     place = np.empty(n, np.int64)
     place[np.array(order)] = np.arange(n)
-    for l in range(min(length, int(lefts.max())) + 1):
+    begins = np.unique(np.concatenate([[0], agree + 1, length - shared]))
+    begins = begins[(begins >= 0) & (begins <= length)]
+    for l, last in zip(begins.tolist(), [*(begins[1:] - 1).tolist(), length]):
         key = np.cumsum(shared < length - l) * (n + 1) + np.cumsum(agree < l)[place]
         _, which, count = np.unique(key, return_inverse=True, return_counts=True)
-        repeats = (count[which] > 1) | own
-        repeats &= (lefts >= l) & (rights >= length - l)
-        most[repeats] = l
-        least[repeats & (least < 0)] = l
+        first, final = np.maximum(l, length - rights), np.minimum(last, lefts)
+        repeats = ((count[which] > 1) | own) & (first <= final)
+        most = np.where(repeats, np.maximum(most, final), most)
+        least = np.where(repeats, np.minimum(least, first), least)
     return [(a, length - b) if a >= 0 else (0, 0) for a, b in zip(most.tolist(), least.tolist())]
 
 
