@@ -6,6 +6,7 @@ import argparse
 
 from cohortmill.plans.segmentation import Settings, publish, segment
 from cohortmill.session import get_session
+from cohortmill.sources.multiline import read_multiline_csv
 from cohortmill.sources.tables import read_csv_by_header
 
 
@@ -23,8 +24,8 @@ def main() -> None:
 
     spark = get_session(master=args.master)
     if args.format == "csv":
-        events = read_csv_by_header(spark, args.events, multiline=args.events_multiline)
-        meta = read_csv_by_header(spark, args.metadata, multiline=True)
+        read_events = read_multiline_csv if args.events_multiline else read_csv_by_header
+        events, meta = read_events(spark, args.events), read_multiline_csv(spark, args.metadata)
     else:
         events, meta = spark.read.parquet(args.events), spark.read.parquet(args.metadata)
     settings = Settings(k=args.k, duplicates=args.duplicates)

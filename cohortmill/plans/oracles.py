@@ -209,6 +209,8 @@ SELECT 'd' || CAST(doc_id AS VARCHAR) AS id, text FROM documents
 UNION ALL
 SELECT 'c' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR), text FROM conversations"""
 
+ORACLES["csv_text_parallel"] = ORACLES["csv_text_roundtrip"]
+
 ORACLES["export_roundtrip"] = stack(*TO_SCORED) + f"SELECT {CLUSTERED} FROM scored"
 ORACLES["export_clustered"] = ORACLES["export_roundtrip"]
 ORACLES["score_batch"] = ORACLES["export_roundtrip"]

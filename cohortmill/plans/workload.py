@@ -47,6 +47,7 @@ from cohortmill.plans.segmentation import (
     export,
     segment,
 )
+from cohortmill.sources.multiline import read_multiline_csv
 from cohortmill.sources.tables import (
     CLUSTERED_SCHEMA,
     SIZES_SCHEMA,
@@ -176,6 +177,18 @@ def csv_text_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv_by_header(spark, path, multiline=True)
 
 
+@query
+def csv_text_parallel(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with line breaks in one CSV file, read by as many tasks as it has splits."""
+    path = scratch_path(spark, "one-csv")
+    documents = read_table(spark, folder, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), "text")
+    turns = read_table(spark, folder, "conversations").select(
+        F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn").alias("id"), "text"
+    )
+    sinks.write_csv(documents.unionByName(turns), path, single_file=True)
+    return read_multiline_csv(spark, path)
+
+
 @query
 def export_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "clustered-csv")
