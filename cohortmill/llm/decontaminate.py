@@ -204,8 +204,8 @@ class Phrases:
             yield length, place[source[index.locate(rows)]], which, items
 
 
-def _scan(phrases: Phrases, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """Each piece with its hit words and items; hits of earlier blocks are taken over."""
+def _scan(phrases: Phrases, batches: Iterator[pa.RecordBatch], later: bool = False) -> Iterator[tuple]:
+    """Each piece with its hit words and items; a ``later`` block takes over the hits of those before it."""
     for batch in tb.pieces(batches):
         data, offsets = tb.buffer_of(batch.column("text"))
         data = tb.lower_ascii(data)
@@ -214,7 +214,7 @@ def _scan(phrases: Phrases, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple
         n = batch.num_rows
         change = np.zeros(len(starts) + 1, dtype=np.int64)
         items: dict[int, set[str]] = {}
-        known = [set(x) for x in batch.column("item_ids").to_pylist()] if "item_ids" in batch.schema.names else None
+        known = [set(x) for x in batch.column("item_ids").to_pylist()] if later else None
         for length, words, which, owners in phrases.occurrences(phrases.numbers(hashes), first):
             np.add.at(change, words, 1)
             np.add.at(change, words + length, -1)
@@ -240,10 +240,10 @@ def _spans_of(row, hit, first, starts, ends, offsets):
     return begin, end, starts[base + begin] - offsets[row], ends[base + end - 1] - offsets[row]
 
 
-def _mapper(block: list[tuple[str, str]], width: int, last: bool):
+def _mapper(block: list[tuple[str, str]], width: int, last: bool, later: bool):
     def results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases(block, width)
-        for batch, hit, hits, first, starts, ends, offsets, items in _scan(phrases, batches):
+        for batch, hit, hits, first, starts, ends, offsets, items in _scan(phrases, batches, later):
             n = batch.num_rows
             ids = [sorted(items.get(row, ())) for row in range(n)]
             spans = [
@@ -313,7 +313,7 @@ def find_contamination(
         schema = _SCHEMA if last else (
             "doc_id bigint, text string, item_ids array<string>, from_word array<bigint>, to_word array<bigint>"
         )
-        found = tb.map_texts(found, _mapper(block, window_words, last), schema)
+        found = tb.map_texts(found, _mapper(block, window_words, last, i > 0), schema)
     return found
 
 
@@ -333,6 +333,52 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return docs.select(columns)
 
 
+def without_passages(docs: DataFrame, benchmark: DataFrame, window_words: int = WINDOW_WORDS) -> DataFrame:
+    """All rows of ``docs``, all columns as they were but the hit passages cut out of ``text``.
+
+    A passage reaches from the first to the last byte of a run of hit words.  A null text stays null; rows are
+    handled one by one, so repeated rows and ids, and rows without one, stay what they are.
+    """
+    columns = docs.columns
+    held = "_passages"
+    while held in columns:
+        held += "_"
+    rows = docs.withColumn(held, F.expr("CAST(array() AS array<struct<start:bigint,end:bigint>>)"))
+
+    def found(batches: Iterator[pa.RecordBatch], block) -> Iterator[pa.RecordBatch]:
+        phrases = Phrases(block, window_words)
+        for batch, hit, hits, first, starts, ends, offsets, _ in _scan(phrases, batches):
+            spans = batch.column(held).to_pylist()
+            for row in np.flatnonzero(hits[first[1:]] > hits[first[:-1]]).tolist():
+                _, _, begin, end = _spans_of(row, hit, first, starts, ends, offsets)
+                spans[row] += [{"start": a, "end": b} for a, b in zip(begin.tolist(), end.tolist())]
+            at = batch.schema.get_field_index(held)
+            yield batch.set_column(at, batch.schema.field(at), pa.array(spans, batch.schema.field(at).type))
+
+    for block in _blocks(benchmark, BLOCK_BYTES):
+        rows = tb.map_texts(rows, lambda batches, block=block: found(batches, block), rows.schema)
+
+    def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tb.pieces(batches):
+            spans = [_joined((s["start"], s["end"]) for s in row) for row in batch.column(held).to_pylist()]
+            texts = [cut_passages(text, own) for text, own in zip(batch.column("text").to_pylist(), spans)]
+            at = batch.schema.get_field_index("text")
+            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+
+    return tb.map_texts(rows, cut_out, rows.schema).select(columns)
+
+
+def _joined(spans: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order, those that overlap as one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = out[-1][0], max(end, out[-1][1])
+        else:
+            out.append((start, end))
+    return out
+
+
 def cut_passages(text: str | None, spans: list[tuple[int, int]]) -> str | None:
     """``text`` without the removal spans (UTF-8 byte offsets, sorted, apart)."""
     if text is None or not spans:

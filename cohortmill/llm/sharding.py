@@ -14,10 +14,13 @@ rows.  An empty table gives an empty result.  Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortmill.llm.lineage import cut
+from cohortmill.storage import materialize
 
 SHARDS = 16
 #: A group of equal texts is kept whole up to this share of a shard.
@@ -47,9 +50,13 @@ def _prefixed(rows: DataFrame, value: str, order: list[str], name: str) -> DataF
     )
 
 
-def byte_shards(docs: DataFrame, shards: int = SHARDS, group_share: float = GROUP_SHARE) -> DataFrame:
-    """doc_id, size, text_crc32, shard and slot (from 0 in each shard) of every row."""
+def byte_shards(
+    docs: DataFrame, shards: int = SHARDS, group_share: float = GROUP_SHARE, carry: Sequence[str] = ()
+) -> DataFrame:
+    """doc_id, size, text_crc32, shard and slot (from 0 in each shard) of every row, and its columns in ``carry``."""
+    carried = [f"_carried_{i}" for i in range(len(carry))]
     rows = docs.select(
+        *[F.col(c).alias(to) for c, to in zip(carry, carried)],
         F.col("doc_id").cast("bigint").alias("doc_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
@@ -67,7 +74,7 @@ def byte_shards(docs: DataFrame, shards: int = SHARDS, group_share: float = GROU
         F.col("_text").eqNullSafe(F.col("_t")) & F.col("_digest").eqNullSafe(F.col("_d")),
         "left",
     ).select(
-        "doc_id", "size", "text_crc32",
+        *carried, "doc_id", "size", "text_crc32",
         F.coalesce("_leader", "doc_id").alias("_first"), "_text", F.coalesce("_group_bytes", F.lit(0)).alias("_group"),
     )
     placed = _prefixed(rows, "size", ["_first", "_text", "doc_id"], "_begin")
@@ -85,19 +92,38 @@ def byte_shards(docs: DataFrame, shards: int = SHARDS, group_share: float = GROU
     )
     # The same prefix sums, of ones, number the rows of a shard.
     numbered = _prefixed(
-        placed.select("doc_id", "size", "text_crc32", "shard", "_first", "_text", F.lit(1).alias("_one")),
+        placed.select(*carried, "doc_id", "size", "text_crc32", "shard", "_first", "_text", F.lit(1).alias("_one")),
         "_one", ["shard", "_first", "_text", "doc_id"], "_row",
     )
     numbered = cut(numbered)
     first = numbered.groupBy("shard").agg(F.min("_row").alias("_first_row"))
     return numbered.join(F.broadcast(first), "shard").select(
-        "doc_id", "size", "text_crc32", "shard", (F.col("_row") - F.col("_first_row")).cast("bigint").alias("slot")
-    )
+        "doc_id", "size", "text_crc32", "shard", (F.col("_row") - F.col("_first_row")).cast("bigint").alias("slot"),
+        *[F.col(held).alias(c) for c, held in zip(carry, carried)],
+    )
+
+
+def _free(name: str, taken: Sequence[str]) -> str:
+    """``name``, with as many underscores as no column of that name needs."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """The documents as one folder of Parquet files per shard, in slot order."""
-    placed = byte_shards(docs, shards).select("doc_id", "shard", "slot")
-    docs.drop("shard", "slot").join(placed, "doc_id").repartition("shard", F.floor(F.col("slot") / 100_000)).sortWithinPartitions(
-        "shard", "slot"
-    ).write.partitionBy("shard").parquet(path)
+    """Every row of ``docs`` once, all columns as they were, as one folder of Parquet files per shard, in slot order.
+
+    The folders are ``shard=N`` and a row's place in its shard is the column ``slot``; where ``docs`` has
+    columns of those names, an underscore is added to the new ones.  Rows are told apart by a number given to
+    the stored rows, so repeated rows and rows without a doc_id stay what they are.  An empty table gives no files.
+    """
+    number, shard, slot = (_free(name, docs.columns) for name in ("_number", "shard", "slot"))
+    stored = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "to-shard")
+    placed = byte_shards(stored, shards, carry=[number]).select(
+        F.col(number).alias("_placed"), F.col("shard").alias("_shard_of"), F.col("slot").alias("_slot_of")
+    )
+    joined = stored.join(placed, stored[number] == placed["_placed"]).select(
+        *[stored[c] for c in docs.columns], placed["_shard_of"].alias(shard), placed["_slot_of"].alias(slot)
+    )
+    dealt = joined.repartition(shard, F.floor(F.col(slot) / 100_000)).sortWithinPartitions(shard, slot)
+    dealt.write.partitionBy(shard).parquet(path)

@@ -219,7 +219,7 @@ def test_packed_bins_hold_every_text(spark, docs, texts):
     placed = pack(docs, capacity=4000, group_pieces=60)
     rows = placed.collect()
     seen = collections.defaultdict(dict)
-    for row in bin_texts(placed, docs, 4000).collect():
+    for row in bin_texts(placed, docs).collect():
         for r in rows:
             if r.bin_id == row.bin_id:
                 seen[r.doc_id][r.piece] = bytes(row.content[r.start : r.start + r["size"]])
