@@ -33,7 +33,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     dropped = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(dropped.hint("shuffle_hash"), docs["doc_id"] == F.col("dropped_id"), "left_anti")
+    return docs.join(dropped.hint("shuffle_hash"), docs["doc_id"] == dropped["dropped_id"], "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
