@@ -19,8 +19,3 @@ def quantile(sketch: str, rank: float) -> Column:
     filled = F.kll_sketch_get_n_double(sketch) > 0
     return F.when(filled, F.kll_sketch_get_quantile_double(F.col(sketch), F.lit(float(rank))))
 
-
-def share_up_to(sketch: str, value: Column) -> Column:
-    """The share of values that are ``value`` or smaller; 0 for an empty sketch."""
-    filled = F.kll_sketch_get_n_double(sketch) > 0
-    return F.when(filled, F.kll_sketch_get_rank_double(F.col(sketch), value)).otherwise(F.lit(0.0))

@@ -10,15 +10,16 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortmill import fixed_values as fixed
 from cohortmill.functions.geometry import all_usable
 from cohortmill.operators.evaluation import sweep_scores
 from cohortmill.operators.scaling import scaling_stages
-from cohortmill.sources.tables import SWEEP_SCHEMA
-from cohortmill.storage import held
+from cohortmill.operators.uncertainty import DRAWS, gap_statistic, uniform_draw
+from cohortmill.sources.tables import GAP_SCHEMA, SWEEP_SCHEMA
+from cohortmill.storage import held, materialize
 
 Centers = list[list[float]]
 
@@ -115,6 +116,54 @@ def best_k(sweep: DataFrame) -> DataFrame:
     return sweep.orderBy(F.desc_nulls_last("Silhouette_Score"), "K").limit(1)
 
 
+def knee(sweep: DataFrame) -> DataFrame:
+    """(K, WSSSE_Cost, distance, is_knee): how far the cost lies below the chord from the first K to the last.
+
+    K and cost are scaled to [0, 1] first.  The knee is the K with the largest distance, the smaller one of
+    equal ones; there is none where the curve has fewer than three points or no fall.  One row per K.
+    """
+    everything = Window.partitionBy(F.lit(0))
+    k, cost = F.col("K").cast("double"), F.col("WSSSE_Cost")
+
+    def scaled(x):
+        low, high = F.min(x).over(everything), F.max(x).over(everything)
+        return (x - low) / F.nullif(high - low, F.lit(0.0))
+
+    measured = sweep.select("K", "WSSSE_Cost", F.round(1.0 - scaled(k) - scaled(cost), 9).alias("distance"))
+    best = F.max(F.struct("distance", (-F.col("K")).alias("minus_k"))).over(everything)
+    is_knee = (F.col("best.distance") > 0) & (-F.col("best.minus_k") == F.col("K"))
+    return measured.withColumn("best", best).select(
+        "K", "WSSSE_Cost", "distance", F.coalesce(is_knee, F.lit(False)).alias("is_knee")
+    )
+
+
+def gap_sweep(
+    scaled: DataFrame,
+    scaled_columns: Sequence[str],
+    key: str = "app_id",
+    ks: Sequence[int] = fixed.SWEEP_K,
+    draws: int = DRAWS,
+    seed: int = fixed.SEED,
+    max_iterations: int = fixed.MAX_ITERATIONS,
+    parallelism: int = SWEEP_PARALLELISM,
+    rows_per_partition: int = ROWS_PER_PARTITION,
+) -> DataFrame:
+    """(K, gap, error, is_chosen): the sweep's cost against that of as many uniform rows, fitted alike.
+
+    ``scaled`` must be a materialised table.  Each draw is one more sweep over as many rows as the data has.
+    """
+    spark = scaled.sparkSession
+
+    def costs(table: DataFrame) -> dict[int, float]:
+        sweep, _ = k_sweep(table, scaled_columns, (key,), ks, seed, max_iterations, parallelism, rows_per_partition)
+        return {r["K"]: r["WSSSE_Cost"] for r in sweep.collect()}
+
+    drawn = [
+        costs(materialize(uniform_draw(scaled, scaled_columns, key, draw, seed), "uniform-draw")) for draw in range(draws)
+    ]
+    return spark.createDataFrame(gap_statistic(costs(scaled), drawn), GAP_SCHEMA)
+
+
 def select_k(models: Mapping[int, Centers], sweep: DataFrame, k: int | None = None) -> int:
     """A given K if it was fitted, else the best one by silhouette."""
     if k is None:

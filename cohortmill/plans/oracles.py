@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 from cohortmill import fixed_values as fixed
+from cohortmill.operators.uncertainty import POISSON_STEPS
 from cohortmill.plans import bindings
 from cohortmill.plans.bindings import LINE_CENTERS, USER_CENTERS
 
@@ -694,3 +695,137 @@ ORACLES["weighted_measures"] = stack(*_FANNED) + " UNION ALL ".join(
         *[(f"deviation_{c}", f"STDDEV_SAMP({c})", "log_features") for c in FEATURES],
     )
 )
+
+# --- choice of K ----------------------------------------------------------------
+
+# The sweep of the given centers as a table, and the cost of uniform draws under the same centers.
+_SWEPT = ORACLES["sweep_fixed"]
+ORACLES["knee_fixed"] = f"""
+WITH sweep AS ({_SWEPT}),
+measured AS (
+  SELECT K, WSSSE_Cost,
+         ROUND(1 - (K - MIN(K) OVER ()) / CAST(MAX(K) OVER () - MIN(K) OVER () AS DOUBLE)
+           - (WSSSE_Cost - MIN(WSSSE_Cost) OVER ()) / NULLIF(MAX(WSSSE_Cost) OVER () - MIN(WSSSE_Cost) OVER (), 0), 9) AS distance
+  FROM sweep)
+SELECT K, WSSSE_Cost, {half_up("distance", 6)} AS distance,
+       distance > 0 AND K = first_value(K) OVER (ORDER BY distance DESC, K) AS is_knee
+FROM measured"""
+
+
+def uniform_sql(*parts: str) -> str:
+    digest = "md5(" + " || ':' || ".join(f"CAST({p} AS VARCHAR)" for p in parts) + ")"
+    return f"(CAST(('0x' || substr({digest}, 1, 12))::BIGINT AS DOUBLE) / 281474976710656.0)"
+
+
+def _least_distance(k: int) -> str:
+    return "LEAST(" + ", ".join(
+        " + ".join(f"({c} - ({float(x)!r})) * ({c} - ({float(x)!r}))" for c, x in zip(SCALED_COLUMNS, center, strict=True))
+        for center in LINE_CENTERS[:k]
+    ) + ")"
+
+
+_BOX = "box AS (SELECT " + ", ".join(
+    f"MIN({c}) AS low{i}, MAX({c}) AS high{i}" for i, c in enumerate(SCALED_COLUMNS)
+) + " FROM scaled)"
+_DRAWN = "drawn AS (SELECT draw, " + ", ".join(
+    f"low{i} + {uniform_sql('app_id', str(i), 'draw', '42')} * (high{i} - low{i}) AS {c}"
+    for i, c in enumerate(SCALED_COLUMNS)
+) + " FROM scaled, box, (SELECT unnest(range(3)) AS draw))"
+_GAP_COSTS = "costs AS (" + " UNION ALL ".join(
+    f"SELECT {k} AS K, -1 AS draw, LN(SUM({_least_distance(k)})) AS cost FROM scaled"
+    f" UNION ALL SELECT {k}, draw, LN(SUM({_least_distance(k)})) FROM drawn GROUP BY draw"
+    for k in (2, 3, 4)
+) + ")"
+ORACLES["gap_fixed"] = stack(
+    *TO_SCALED,
+    _BOX,
+    _DRAWN,
+    _GAP_COSTS,
+    """gaps AS (
+  SELECT K, AVG(cost) FILTER (WHERE draw >= 0) - MAX(cost) FILTER (WHERE draw < 0) AS gap,
+         STDDEV_POP(cost) FILTER (WHERE draw >= 0) * SQRT(1 + 1 / 3.0) AS error
+  FROM costs GROUP BY K)""",
+    """chosen AS (
+  SELECT COALESCE(MIN(K) FILTER (WHERE reached), (SELECT FIRST(K ORDER BY gap DESC, K) FROM gaps)) AS K
+  FROM (SELECT K, gap >= LEAD(gap) OVER (ORDER BY K) - LEAD(error) OVER (ORDER BY K) AS reached FROM gaps))""",
+) + f"""
+SELECT CAST(g.K AS INTEGER) AS K, {half_up("gap", 6)} AS gap, {half_up("error", 6)} AS error, g.K = c.K AS is_chosen
+FROM gaps g, chosen c"""
+
+# --- findings with uncertainty ----------------------------------------------------
+
+_WEIGHT = " + ".join(f"CAST(u >= {step!r} AS INTEGER)" for step in POISSON_STEPS)
+_REPLICATES = (
+    *TO_SCORED,
+    f"""replicated AS (
+  SELECT *, {_WEIGHT} AS w FROM (
+    SELECT s.*, replicate, {uniform_sql("app_id", "replicate", "42")} AS u
+    FROM scored s, (SELECT unnest(range(1, 51)) AS replicate)))""",
+    "replicate_means AS (" + " UNION ALL ".join(
+        f"SELECT cluster_id, replicate, '{source}' AS feature, CAST(SUM({source} * w) AS DOUBLE) / SUM(w) AS mean"
+        f" FROM replicated WHERE w > 0 GROUP BY cluster_id, replicate"
+        for source, _ in PROFILED
+    ) + ")",
+)
+ORACLES["bootstrap_means"] = stack(
+    *_REPLICATES,
+    "exact AS (" + " UNION ALL ".join(
+        f"SELECT cluster_id, '{source}' AS feature, AVG({source}) AS mean FROM scored GROUP BY cluster_id" for source, _ in PROFILED
+    ) + ")",
+) + f"""
+SELECT r.cluster_id, r.feature, {half_up("MAX(e.mean)", 6)} AS mean,
+       {half_up("quantile_cont(r.mean, 0.025)", 6)} AS low, {half_up("quantile_cont(r.mean, 0.975)", 6)} AS high
+FROM replicate_means r JOIN exact e ON r.cluster_id = e.cluster_id AND r.feature = e.feature
+GROUP BY r.cluster_id, r.feature"""
+ORACLES["bootstrap_ratios"] = stack(*_REPLICATES) + f"""
+SELECT feature, {half_up("quantile_cont(ratio, 0.025)", 6)} AS low, {half_up("quantile_cont(ratio, 0.975)", 6)} AS high
+FROM (SELECT x.feature, x.mean / NULLIF(y.mean, 0) AS ratio FROM replicate_means x JOIN replicate_means y
+      ON x.feature = y.feature AND x.replicate = y.replicate WHERE x.cluster_id = 3 AND y.cluster_id = 0)
+GROUP BY feature"""
+
+# --- drift, refits ------------------------------------------------------------------
+
+_SIDES = "sides AS (" + " UNION ALL ".join(
+    f"SELECT '{source}' AS feature, CAST({source} AS DOUBLE) AS x, cluster_id = 0 AS first FROM scored WHERE cluster_id IN (0, 1, 3)"
+    for source, _ in PROFILED
+) + ")"
+ORACLES["drift_between_clusters"] = stack(
+    *TO_SCORED,
+    _SIDES,
+    """totals AS (
+  SELECT feature, COUNT(*) FILTER (WHERE first) AS n_before, COUNT(*) FILTER (WHERE NOT first) AS n_after FROM sides GROUP BY feature)""",
+    """curves AS (
+  SELECT p.feature, p.x, COUNT(*) FILTER (WHERE s.first AND s.x <= p.x) AS a, COUNT(*) FILTER (WHERE NOT s.first AND s.x <= p.x) AS b
+  FROM (SELECT DISTINCT feature, x FROM sides) p JOIN sides s ON s.feature = p.feature GROUP BY p.feature, p.x)""",
+    """ends AS (
+  SELECT feature, bin, MIN(CASE WHEN bin = 10 THEN 1.0 ELSE CAST(a AS DOUBLE) / n_before END) AS a,
+         MIN(CASE WHEN bin = 10 THEN 1.0 ELSE CAST(b AS DOUBLE) / n_after END) AS b
+  FROM curves JOIN totals USING (feature), (SELECT unnest(range(1, 11)) AS bin)
+  WHERE a * 10 >= bin * n_before GROUP BY feature, bin)""",
+    """shares AS (
+  SELECT feature, GREATEST(a - COALESCE(LAG(a) OVER w, 0), 0.0001) AS a, GREATEST(b - COALESCE(LAG(b) OVER w, 0), 0.0001) AS b
+  FROM ends WINDOW w AS (PARTITION BY feature ORDER BY bin))""",
+) + f"""
+SELECT feature, n_before, n_after, CAST(0 AS DOUBLE) AS ks_error, {half_up("ks", 6)} AS ks, {half_up("psi", 6)} AS psi
+FROM totals
+JOIN (SELECT feature, MAX(ABS(CAST(a AS DOUBLE) / n_before - CAST(b AS DOUBLE) / n_after)) AS ks
+      FROM curves JOIN totals USING (feature) GROUP BY feature) USING (feature)
+JOIN (SELECT feature, SUM((a - b) * LN(a / b)) AS psi FROM shares GROUP BY feature) USING (feature)"""
+
+ORACLES["refit_ids"] = ORACLES["export_roundtrip"]
+_THREE = nearest([LINE_CENTERS[i] for i in (3, 0, 1)], SCALED_COLUMNS).replace("measured", "measured_3").replace("scored AS", "scored_3 AS")
+ORACLES["refit_agreement"] = stack(
+    *TO_SCORED,
+    _THREE,
+    """cells AS (
+  SELECT x.cluster_id AS a, y.cluster_id AS b, CAST(COUNT(*) AS DOUBLE) AS n
+  FROM scored x JOIN scored_3 y USING (app_id) GROUP BY 1, 2)""",
+    """numbers AS (
+  SELECT (SELECT SUM(n) FROM cells) AS entities, (SELECT SUM(n * (n - 1) / 2) FROM cells) AS cells,
+         (SELECT SUM(n * (n - 1) / 2) FROM (SELECT SUM(n) AS n FROM cells GROUP BY a)) AS rows,
+         (SELECT SUM(n * (n - 1) / 2) FROM (SELECT SUM(n) AS n FROM cells GROUP BY b)) AS columns,
+         (SELECT SUM(n) FROM (SELECT MAX(n) AS n FROM cells GROUP BY a)) AS top)""",
+) + f"""
+SELECT CAST(entities AS BIGINT) AS entities, {half_up("top / entities", 6)} AS purity,
+       {half_up("(cells - rows * columns / (entities * (entities - 1) / 2)) / ((rows + columns) / 2 - rows * columns / (entities * (entities - 1) / 2))", 6)} AS adjusted_rand_index
+FROM numbers"""

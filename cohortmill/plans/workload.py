@@ -24,12 +24,15 @@ from cohortmill.operators.clustering import (
     fit_ml_stages,
     k_sweep,
     kmeans,
+    knee,
     stable_layout,
 )
+from cohortmill.operators.drift import column_sketches, drift, merged_sketches
 from cohortmill.operators.evaluation import assign, fit_checks, silhouette, sweep_scores, wssse
 from cohortmill.operators.features import feature_names, with_features
 from cohortmill.operators.features import feature_table as feature_rows
 from cohortmill.operators.quality import column_profile, quality_checks
+from cohortmill.operators.refits import adjusted_rand_index, contingency, keep_ids
 from cohortmill.operators.sampling import plot_sample, preview
 from cohortmill.operators.scaling import (
     fit_standardizer,
@@ -39,6 +42,14 @@ from cohortmill.operators.scaling import (
     standardize,
 )
 from cohortmill.operators.scoring import SegmentModel, clustered_table, make_model
+from cohortmill.operators.uncertainty import (
+    gap_statistic,
+    mean_intervals,
+    model_costs,
+    ratio_intervals,
+    replicate_means,
+    uniform_draw,
+)
 from cohortmill.plans import bindings
 from cohortmill.plans.segmentation import (
     Settings,
@@ -50,6 +61,7 @@ from cohortmill.plans.segmentation import (
 from cohortmill.sources.multiline import read_multiline_csv
 from cohortmill.sources.tables import (
     CLUSTERED_SCHEMA,
+    GAP_SCHEMA,
     SIZES_SCHEMA,
     STATISTICS_SCHEMA,
     SWEEP_SCHEMA,
@@ -495,6 +507,76 @@ def read_back(spark: SparkSession, table: DataFrame, schema) -> DataFrame:
     return read_result_csv(spark, path, schema)
 
 
+@query
+def knee_fixed(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(knee(fixed_sweep(spark, folder)), "distance")
+
+
+GAP_DRAWS = 3
+
+
+@query
+def gap_fixed(spark: SparkSession, folder: str) -> DataFrame:
+    """The gap statistic of the given centers: data and uniform draws measured by the same models."""
+    models = {k: bindings.LINE_CENTERS[:k] for k in FIXED_KS}
+    scaled = materialize(scaled_lines(spark, folder), "scaled")
+    drawn = [model_costs(uniform_draw(scaled, SCALED, "app_id", draw), SCALED, models) for draw in range(GAP_DRAWS)]
+    rows = gap_statistic(model_costs(scaled, SCALED, models), drawn)
+    return rounded(spark.createDataFrame(rows, GAP_SCHEMA), "gap", "error")
+
+
+# --- findings with uncertainty, drift, refits -------------------------------------
+
+PROFILED = tuple(profile.PROFILED)
+BOOTSTRAPS = 50
+
+
+def bootstrapped_lines(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    clustered = materialize(clustered_lines(spark, folder), "clustered")
+    return materialize(replicate_means(clustered, PROFILED, replicates=BOOTSTRAPS), "replicates"), clustered
+
+
+@query
+def bootstrap_means(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(mean_intervals(*bootstrapped_lines(spark, folder)), "mean", "low", "high")
+
+
+@query
+def bootstrap_ratios(spark: SparkSession, folder: str) -> DataFrame:
+    means, _ = bootstrapped_lines(spark, folder)
+    return rounded(ratio_intervals(means, cluster=3, baseline=0), "low", "high")
+
+
+@query
+def drift_between_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """How far the entities of one cluster are from those of two others, whose sketches are merged."""
+    clustered = materialize(clustered_lines(spark, folder), "clustered")
+    sketches = [column_sketches(clustered.where(F.col("cluster_id") == i), PROFILED) for i in (0, 1, 3)]
+    found = drift(sketches[0], merged_sketches(sketches[1].unionByName(sketches[2])))
+    return rounded(found, "ks", "psi")
+
+
+def permuted_lines(spark: SparkSession, folder: str, order: tuple[int, ...]) -> tuple[DataFrame, DataFrame]:
+    """The clusters of the given centers, and those of some of them under other ids."""
+    table = materialize(line_features(spark, folder), "feature-table")
+    models = [fixed_model(table, LINES, centers) for centers in (bindings.LINE_CENTERS, [bindings.LINE_CENTERS[i] for i in order])]
+    before, after = (materialize(clustered_table(model.score(table)), "clustered") for model in models)
+    return before, after
+
+
+@query
+def refit_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """A refit whose ids are permuted, under the ids of the run before."""
+    return keep_ids(*permuted_lines(spark, folder, (2, 0, 3, 1)))
+
+
+@query
+def refit_agreement(spark: SparkSession, folder: str) -> DataFrame:
+    """How far a run with three of the four centers agrees with that of all four."""
+    table = materialize(contingency(*permuted_lines(spark, folder, (3, 0, 1))), "contingency")
+    return rounded(adjusted_rand_index(table), "purity", "adjusted_rand_index")
+
+
 # --- cluster profiles -----------------------------------------------------------
 
 

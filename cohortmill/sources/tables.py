@@ -25,6 +25,15 @@ SWEEP_SCHEMA = T.StructType(
     ]
 )
 
+GAP_SCHEMA = T.StructType(
+    [
+        T.StructField("K", T.IntegerType()),
+        T.StructField("gap", T.DoubleType()),
+        T.StructField("error", T.DoubleType()),
+        T.StructField("is_chosen", T.BooleanType()),
+    ]
+)
+
 SIZES_SCHEMA = T.StructType(
     [
         T.StructField("cluster_id", T.IntegerType()),
