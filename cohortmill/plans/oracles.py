@@ -829,3 +829,25 @@ ORACLES["refit_agreement"] = stack(
 SELECT CAST(entities AS BIGINT) AS entities, {half_up("top / entities", 6)} AS purity,
        {half_up("(cells - rows * columns / (entities * (entities - 1) / 2)) / ((rows + columns) / 2 - rows * columns / (entities * (entities - 1) / 2))", 6)} AS adjusted_rand_index
 FROM numbers"""
+
+# --- views, many words ----------------------------------------------------------------
+
+ORACLES["density_tiles"] = stack(
+    *TO_SCORED,
+    """cells AS (
+  SELECT cluster_id, app_id,
+         LEAST(CAST(FLOOR((rating_percent - x0) / (x1 - x0) * 16) AS BIGINT), 15) AS cx,
+         LEAST(CAST(FLOOR((playtime_hours - y0) / (y1 - y0) * 16) AS BIGINT), 15) AS cy
+  FROM scored, (SELECT MIN(rating_percent) AS x0, MAX(rating_percent) AS x1,
+                       MIN(playtime_hours) AS y0, MAX(playtime_hours) AS y1 FROM scored))""",
+) + """
+SELECT CAST(level AS INTEGER) AS level, cx >> (4 - level) AS cell_x, cy >> (4 - level) AS cell_y, cluster_id,
+       COUNT(*) AS n, MIN(app_id) AS example
+FROM cells, (SELECT CAST(unnest(range(5)) AS INTEGER) AS level) GROUP BY 1, 2, 3, 4"""
+
+ORACLES["notable_many"] = stack(
+    *TO_FEATURES,
+    """fragments AS (
+  SELECT DISTINCT lower(substr(p_name, CAST(1 + p_partkey % 7 AS INTEGER), CAST(3 + p_partkey % 6 AS INTEGER))) AS word FROM part)""",
+) + """
+SELECT * FROM feature_table f WHERE EXISTS (SELECT 1 FROM fragments WHERE contains(lower(f.game_name), word))"""

@@ -50,6 +50,9 @@ from cohortmill.operators.uncertainty import (
     replicate_means,
     uniform_draw,
 )
+from cohortmill.operators.views import density_tiles as tiles
+from cohortmill.operators.views import principal_axes, projected
+from cohortmill.operators.words import containing_any
 from cohortmill.plans import bindings
 from cohortmill.plans.segmentation import (
     Settings,
@@ -672,6 +675,33 @@ def notable(spark: SparkSession, folder: str) -> DataFrame:
     return notable_entities(line_features(spark, folder), LINES.notable_words)
 
 
+def title_fragments(spark: SparkSession, folder: str) -> DataFrame:
+    """A word for every part: a piece of its name, of 3 to 8 characters, in upper case for every second one."""
+    key = F.col("p_partkey").cast("int")
+    word = F.substring("p_name", 1 + key % 7, 3 + key % 6)
+    return read_table(spark, folder, "part").select(F.when(key % 2 == 0, F.upper(word)).otherwise(word).alias("word"))
+
+
+@query
+def notable_many(spark: SparkSession, folder: str) -> DataFrame:
+    """Entities whose name contains any of as many words as there are parts."""
+    return containing_any(line_features(spark, folder), title_fragments(spark, folder))
+
+
+@query
+def density_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    """The feature view as counts per cell and cluster at five zoom levels."""
+    return tiles(materialize(clustered_lines(spark, folder), "clustered"), levels=4)
+
+
+@query
+def principal_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    """The same along the two principal axes of the scaled features."""
+    scored = materialize(scored_lines(spark, folder), "scored")
+    points = projected(scored, SCALED, principal_axes(scored, SCALED))
+    return tiles(points, "axis_0", "axis_1", levels=4)
+
+
 @query
 def preview_events(spark: SparkSession, folder: str) -> DataFrame:
     """The first rows of the cleaned events in a full order."""
