@@ -113,24 +113,36 @@ def _quoted(text: str) -> str:
 
 
 def _canonical(column: str) -> str:
-    out = f"regexp_replace({column}, {_quoted(COPYRIGHT_LINE)}, ' ', 'g')"
-    out = f"regexp_replace(lower({out}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')"
+    out = f"trim(regexp_replace(lower({column}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
     for spelling, usual in SPELLINGS:
         out = f"regexp_replace({out}, '\\b{spelling}\\b', '{usual}', 'g')"
-    return f"sha256(trim({out}))"
+    return out
 
 
+# Lines by themselves; paragraphs are runs of lines that are not blank, numbered by the blank lines before them.
 LICENSES = f"""
 WITH known AS (
-  SELECT DISTINCT license, {_canonical('body')} AS digest
+  SELECT DISTINCT license, {_canonical('body')} AS canonical
   FROM (VALUES {', '.join(f'({_quoted(name)}, {_quoted(body)})' for name, body in KNOWN)}) AS t(license, body)),
-paragraphs AS (SELECT doc_id, string_split_regex(text, '\\n[^\\S\\n]*\\n') AS p FROM documents WHERE text IS NOT NULL),
-lines AS (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL),
+split AS (SELECT row_number() OVER () AS rid, doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL),
+lines AS (
+  SELECT rid, doc_id, i - 1 AS part, len(p) AS n_lines, regexp_matches(p[i], '^\\s*$') AS blank,
+         CASE WHEN regexp_matches(p[i], {_quoted(COPYRIGHT_LINE)}) THEN '' ELSE {_canonical('p[i]')} END AS body
+  FROM split, unnest(range(1, len(p) + 1)) AS t(i)),
+runs AS (
+  SELECT *, sum(begins) OVER (PARTITION BY rid ORDER BY part) - 1 AS paragraph
+  FROM (SELECT *, CASE WHEN NOT blank AND coalesce(lag(blank) OVER (PARTITION BY rid ORDER BY part), true) THEN 1 ELSE 0 END AS begins
+        FROM lines)),
+paragraphs AS (
+  SELECT rid, doc_id, paragraph AS part, count(*) OVER (PARTITION BY rid) AS n,
+         coalesce(string_agg(body, ' ' ORDER BY part) FILTER (WHERE body <> ''), '') AS body
+  FROM runs WHERE NOT blank GROUP BY rid, doc_id, paragraph),
 units AS (
-  SELECT doc_id, 'text' AS unit, 0::BIGINT AS part, text AS body FROM documents WHERE text IS NOT NULL
-  UNION ALL SELECT doc_id, 'paragraph', i - 1, p[i] FROM paragraphs, unnest(range(1, len(p) + 1)) AS t(i) WHERE len(p) > 1
-  UNION ALL SELECT doc_id, 'line', i - 1, p[i] FROM lines, unnest(range(1, len(p) + 1)) AS t(i) WHERE len(p) > 1)
-SELECT doc_id, unit, part, license FROM units JOIN known ON {_canonical('body')} = digest
+  SELECT doc_id, 'text' AS unit, 0::BIGINT AS part, coalesce(string_agg(body, ' ' ORDER BY part) FILTER (WHERE body <> ''), '') AS body
+  FROM lines GROUP BY rid, doc_id
+  UNION ALL SELECT doc_id, 'paragraph', part::BIGINT, body FROM paragraphs WHERE n > 1
+  UNION ALL SELECT doc_id, 'line', part, body FROM lines WHERE n_lines > 1)
+SELECT doc_id, unit, part, license FROM units JOIN known ON body = canonical
 """
 
 QUALITY = r"""
