@@ -73,6 +73,12 @@ def usable_check(unusable: DataFrame) -> DataFrame:
     ).withColumn("ok", F.col("expected") == F.col("actual"))
 
 
+def column_types(df: DataFrame) -> DataFrame:
+    """(ordinal, column_name, data_type): the schema as rows; reads no data."""
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)]
+    return df.sparkSession.createDataFrame(rows, "ordinal int, column_name string, data_type string")
+
+
 def column_profile(df: DataFrame) -> DataFrame:
     """(column_name, data_type, row_count, null_count): the schema with what the rows hold, in one scan."""
     quoted = ["`" + f.name.replace("`", "``") + "`" for f in df.schema]

@@ -20,6 +20,7 @@ from cohortmill.operators.clustering import (
     SWEEP_PARALLELISM,
     best_k,
     k_sweep,
+    knee,
     select_k,
 )
 from cohortmill.operators.metadata import FANOUT_SALTS
@@ -27,6 +28,7 @@ from cohortmill.operators.quality import cross_checks, quality_checks, usable_ch
 from cohortmill.operators.sampling import plot_sample
 from cohortmill.operators.scaling import fit_standardizer, scaled_names, standardize
 from cohortmill.operators.scoring import SegmentModel, clustered_table, make_model
+from cohortmill.operators.views import density_tiles
 from cohortmill.storage import Scratch, materialize
 
 EXPORT_THREADS = 8
@@ -237,6 +239,8 @@ def _write_all(result: Segmentation, folder: str, settings: Settings, title: str
         "cluster_ranks": profile.cluster_ranks(result.statistics),
         "cluster_contrast": profile.cluster_contrast(result.statistics),
         "elbow_series": elbow_series(result.sweep, best_k(result.sweep)),
+        "elbow_knee": knee(result.sweep),
+        "density_tiles": density_tiles(result.clustered),
         "feature_bars": feature_bars(result.statistics),
         "share_slices": share_slices(profile.cluster_share(result.sizes), result.labels),
         "quality_checks": quality_checks(result.clustered, result.k, settings.min_popularity).unionByName(
