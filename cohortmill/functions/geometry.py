@@ -1,58 +1,58 @@
-"""Squared-Euclidean geometry over an array column of doubles.
+"""Squared-Euclidean geometry over plain columns of doubles, as arithmetic that Spark compiles.
 
-Centers are data inside one expression, so the generated code has the same size for
-any number of features and clusters.
+Sums are balanced trees, so an expression over many columns is wide but not deep.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import operator
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def is_usable(features: Column) -> Column:
-    """True where every feature is a finite number; NULL, NaN and infinities are not."""
-    return F.forall(features, lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
+def _balanced(parts: Sequence[Column], join: Callable[[Column, Column], Column]) -> Column:
+    parts = list(parts)
+    while len(parts) > 1:
+        parts = [reduce(join, parts[i : i + 2]) for i in range(0, len(parts), 2)]
+    return parts[0]
 
 
-def all_usable(columns: Sequence[str]) -> Column:
-    return is_usable(F.array(*[F.col(c).cast("double") for c in columns]))
+def total(parts: Sequence[Column]) -> Column:
+    return _balanced(parts, operator.add) if parts else F.lit(0.0)
 
 
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda total, x: total + x)
+def doubles(columns: Sequence[str]) -> list[Column]:
+    return [F.col(c).cast("double") for c in columns]
 
 
-def squared_distance(a: Column, b: Column) -> Column:
-    return _total(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)))
+def all_usable(columns: Sequence[str]) -> Column:
+    """True where every feature is a finite number; NULL, NaN and infinities are not."""
+    finite = [F.coalesce(F.abs(c) < float("inf"), F.lit(False)) for c in doubles(columns)]
+    return _balanced(finite, operator.and_) if finite else F.lit(True)
 
 
-def squared_norm(features: Column) -> Column:
-    return _total(F.transform(features, lambda x: x * x))
+def squared_distance(features: Sequence[Column], point: Sequence[float]) -> Column:
+    return total([(c - F.lit(float(x))) * (c - F.lit(float(x))) for c, x in zip(features, point, strict=True)])
 
 
-def dot(a: Column, b: Column) -> Column:
-    return _total(F.zip_with(a, b, lambda x, y: x * y))
+def squared_norm(features: Sequence[Column]) -> Column:
+    return total([c * c for c in features])
 
 
-def point(values: Sequence[float]) -> Column:
-    return F.lit([float(x) for x in values])
+def dot(features: Sequence[Column], point: Sequence[float]) -> Column:
+    return total([c * F.lit(float(x)) for c, x in zip(features, point, strict=True)])
 
 
-def nearest_center(features: Column, centers: Sequence[Sequence[float]]) -> Column:
+def nearest_center(columns: Sequence[str], centers: Sequence[Sequence[float]]) -> Column:
     """struct(d2, cluster_id) of the nearest center; the lowest id wins a tie.
 
     NULL for features that are not usable: such a row is near nothing.
     """
-    points = F.array(
-        *[F.struct(F.lit(i).alias("cluster_id"), point(c).alias("point")) for i, c in enumerate(centers)]
-    )
-    measured = F.transform(
-        points,
-        lambda c: F.struct(
-            squared_distance(features, c["point"]).alias("d2"), c["cluster_id"].alias("cluster_id")
-        ),
-    )
-    return F.when(is_usable(features), F.array_min(measured))
+    features = doubles(columns)
+    measured = [
+        F.struct(squared_distance(features, c).alias("d2"), F.lit(i).alias("cluster_id")) for i, c in enumerate(centers)
+    ]
+    return F.when(all_usable(columns), F.array_min(F.array(*measured)))

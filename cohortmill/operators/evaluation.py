@@ -7,27 +7,22 @@ names a column, a row of weight w counts as w equal rows, and one without a posi
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from cohortmill.functions.geometry import dot, nearest_center, point, squared_norm
-
-_FEATURES = "_feature_array"
-
-
-def _with_array(scaled: DataFrame, scaled_columns: Sequence[str]) -> DataFrame:
-    return scaled.withColumn(_FEATURES, F.array(*[F.col(c).cast("double") for c in scaled_columns]))
+from cohortmill.functions.geometry import all_usable, dot, doubles, nearest_center, squared_norm
 
 
 def assign(scaled: DataFrame, scaled_columns: Sequence[str], centers) -> DataFrame:
     """Adds ``cluster_id`` and the squared distance ``d2`` to the nearest center, NULL for unusable rows."""
     return (
-        _with_array(scaled, scaled_columns)
-        .withColumn("nearest", nearest_center(F.col(_FEATURES), centers))
+        scaled.withColumn("nearest", nearest_center(scaled_columns, centers))
         .withColumns({"cluster_id": F.col("nearest.cluster_id"), "d2": F.col("nearest.d2")})
-        .drop("nearest", _FEATURES)
+        .drop("nearest")
     )
 
 
@@ -39,28 +34,11 @@ def _times(value: Column, weight: str | None) -> Column:
     return value if weight is None else value * F.col(weight)
 
 
-def _rows(weight: str | None) -> Column:
-    return F.count(F.lit(1)) if weight is None else F.sum(weight)
-
-
 def wssse(assigned: DataFrame, weight: str | None = None) -> DataFrame:
     """One row: the within-set sum of squared errors."""
     return _weighed(assigned, weight).agg(F.sum(_times(F.col("d2"), weight)).alias("wssse"))
 
 
-def _sums(width: int, weight: str | None = None) -> list[Column]:
-    slots = [F.get(F.col(_FEATURES), F.lit(i)) for i in range(width)]
-    return [
-        _rows(weight).alias("n"),
-        F.sum(_times(squared_norm(F.col(_FEATURES)), weight)).alias("norms"),
-        *[F.sum(_times(slot, weight)).alias(f"s{i}") for i, slot in enumerate(slots)],
-    ]
-
-
-def _total(width: int) -> Column:
-    return F.array(*[f"s{i}" for i in range(width)]).alias("total")
-
-
 def cluster_sums(
     assigned: DataFrame, scaled_columns: Sequence[str], weight: str | None = None
 ) -> DataFrame:
@@ -69,9 +47,14 @@ def cluster_sums(
     Plain sums, combined on the map side: the shuffle carries one row per cluster
     and task, however uneven the clusters are.
     """
-    width = len(scaled_columns)
-    rows = _weighed(_with_array(assigned, scaled_columns), weight).where(F.col("cluster_id").isNotNull())
-    return rows.groupBy("cluster_id").agg(*_sums(width, weight)).select("cluster_id", "n", "norms", _total(width))
+    features = doubles(scaled_columns)
+    rows = _weighed(assigned, weight).where(F.col("cluster_id").isNotNull())
+    sums = rows.groupBy("cluster_id").agg(
+        (F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n"),
+        F.sum(_times(squared_norm(features), weight)).alias("norms"),
+        *[F.sum(_times(c, weight)).alias(f"s{i}") for i, c in enumerate(features)],
+    )
+    return sums.select("cluster_id", "n", "norms", F.array(*[f"s{i}" for i in range(len(features))]).alias("total"))
 
 
 def cost_from_sums(sums: Sequence[Row], centers) -> float:
@@ -84,40 +67,24 @@ def cost_from_sums(sums: Sequence[Row], centers) -> float:
     return cost
 
 
-def _row_silhouette(features: Column, own: Column, sums: Sequence[Row]) -> Column:
+def _row_silhouette(scaled_columns: Sequence[str], own: Column, sums: Sequence[Row]) -> Column:
     """The silhouette of one row from the sums of all clusters.
 
     The mean squared distance from x to a cluster of n rows with mean m and mean
     squared norm y is |x|^2 - 2 x.m + y, so a row needs K sums and no other row.
     """
-    clusters = F.array(
-        *[
-            F.struct(
-                F.lit(row["cluster_id"]).alias("cluster_id"),
-                F.lit(float(row["n"])).alias("n"),
-                point([2.0 * s / row["n"] for s in row["total"]]).alias("twice_mean"),
-                F.lit(row["norms"] / row["n"]).alias("norm"),
-            )
-            for row in sums
-        ]
-    )
-    reach = F.transform(
-        clusters,
-        lambda c: F.struct(
-            c["cluster_id"].alias("cluster_id"),
-            c["n"].alias("n"),
-            F.greatest(squared_norm(features) - dot(features, c["twice_mean"]) + c["norm"], F.lit(0.0)).alias("d"),
-        ),
-    )
-
-    def score(reached: Column) -> Column:
-        mine = F.get(F.filter(reached, lambda r: r["cluster_id"] == own), F.lit(0))
+    features = doubles(scaled_columns)
+    norm = squared_norm(features)
+    mine, others = F.lit(None).cast("double"), []
+    for row in sums:
+        n = float(row["n"])
+        reach = F.greatest(norm - dot(features, [2.0 * s / n for s in row["total"]]) + F.lit(row["norms"] / n), F.lit(0.0))
+        here = own == row["cluster_id"]
         # The row itself is at distance 0 and does not count among its neighbours.
-        a = F.when(mine["n"] > 1, mine["d"] * mine["n"] / (mine["n"] - 1.0))
-        b = F.array_min(F.transform(F.filter(reached, lambda r: r["cluster_id"] != own), lambda r: r["d"]))
-        return F.when(a < b, 1.0 - a / b).when(a > b, b / a - 1.0).otherwise(F.lit(0.0))
-
-    return F.get(F.transform(F.array(reach), score), F.lit(0))
+        mine = F.when(here, reach * (n / (n - 1.0)) if n > 1 else F.lit(None)).otherwise(mine)
+        others.append(F.when(~here, reach))
+    a, b = mine, F.least(*others)
+    return F.when(a < b, 1.0 - a / b).when(a > b, b / a - 1.0).otherwise(F.lit(0.0))
 
 
 def silhouette(
@@ -135,13 +102,21 @@ def silhouette(
         sums = cluster_sums(assigned, scaled_columns, weight).collect()
     if len(sums) < 2:
         return assigned.agg(F.lit(None).cast("double").alias("silhouette"))
-    rows = _weighed(_with_array(assigned, scaled_columns), weight).where(F.col("cluster_id").isNotNull())
-    score = _row_silhouette(F.col(_FEATURES), F.col("cluster_id"), sums)
-    return rows.agg(_mean(score, weight).alias("silhouette"))
+    rows = _weighed(assigned, weight).where(F.col("cluster_id").isNotNull())
+    score = _row_silhouette(scaled_columns, F.col("cluster_id"), sums)
+    mean = F.avg(score) if weight is None else F.sum(score * F.col(weight)) / F.sum(weight)
+    return rows.agg(mean.alias("silhouette"))
+
+
+def _matrix(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Features and weights of the rows of a batch; its last column is the weight."""
+    columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(width + 1)]
+    return np.column_stack(columns[:-1]), columns[-1]
 
 
-def _mean(score: Column, weight: str | None) -> Column:
-    return F.avg(score) if weight is None else F.sum(score * F.col(weight)) / F.sum(weight)
+def _nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """The id of each row's nearest center, the lowest of equally near ones."""
+    return np.stack([((x - c) ** 2).sum(axis=1) for c in centers], axis=1).argmin(axis=1)
 
 
 def sweep_scores(
@@ -152,36 +127,72 @@ def sweep_scores(
 ) -> list[tuple[int, float, float | None]]:
     """(K, cost, silhouette) of every model, in two passes over ``scaled`` for all of them.
 
-    The driver sees one row per cluster of each model.
+    A pass measures whole batches against every center at once and leaves one row per cluster and task.  The
+    driver sees one row per cluster of each model.
     """
-    rows = _weighed(_with_array(scaled, scaled_columns), weight)
-    weights = [] if weight is None else [weight]
-    features, width = F.col(_FEATURES), len(scaled_columns)
-    nearest = [
-        F.struct(F.lit(k).alias("k"), nearest_center(features, centers)["cluster_id"].alias("cluster_id"))
-        for k, centers in models.items()
-    ]
+    width = len(scaled_columns)
+    w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    rows = _weighed(scaled, weight).where(all_usable(scaled_columns)).select(*doubles(scaled_columns), w.alias("w"))
+    points = {k: np.array(centers, dtype=float) for k, centers in models.items()}
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {k: np.zeros((len(c), width + 2)) for k, c in points.items()}
+        for batch in batches:
+            x, w = _matrix(batch, width)
+            each = np.column_stack([w, w * (x**2).sum(axis=1), x * w[:, None]])
+            for k, centers in points.items():
+                own = _nearest(x, centers)
+                for j in range(width + 2):
+                    sums[k][:, j] += np.bincount(own, each[:, j], len(centers))
+        found = np.concatenate([np.column_stack([np.full(len(s), k), np.arange(len(s)), s]) for k, s in sums.items()])
+        found = found[found[:, 2] > 0]
+        columns = [pa.array(found[:, i].astype(np.int32)) for i in (0, 1)] + [pa.array(found[:, 2 + j]) for j in range(width + 2)]
+        yield pa.RecordBatch.from_arrays(columns, names)
+
+    slots = [f"s{i}" for i in range(width)]
+    names = ["k", "cluster_id", "n", "norms", *slots]
+    parts = rows.mapInArrow(summed, "k int, cluster_id int, " + ", ".join(f"{n} double" for n in names[2:]))
     found = (
-        rows.select(_FEATURES, *weights, F.explode(F.array(*nearest)).alias("at"))
-        .where(F.col("at.cluster_id").isNotNull())
-        .groupBy(F.col("at.k").alias("k"), F.col("at.cluster_id").alias("cluster_id"))
-        .agg(*_sums(width, weight))
-        .select("k", "cluster_id", "n", "norms", _total(width))
+        parts.groupBy("k", "cluster_id")
+        .agg(*[F.sum(n).alias(n) for n in names[2:]])
+        .select("k", "cluster_id", "n", "norms", F.array(*slots).alias("total"))
         .collect()
     )
     sums = {k: sorted((r for r in found if r["k"] == k), key=lambda r: r["cluster_id"]) for k in models}
-    several = [k for k in models if len(sums[k]) > 1]
+    several = {
+        k: (
+            np.array([r["cluster_id"] for r in sums[k]]),
+            np.array([r["n"] for r in sums[k]]),
+            np.array([r["total"] for r in sums[k]]),
+            np.array([r["norms"] for r in sums[k]]),
+        )
+        for k in models
+        if len(sums[k]) > 1
+    }
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = dict.fromkeys(several, 0.0)
+        for batch in batches:
+            x, w = _matrix(batch, width)
+            norm = (x**2).sum(axis=1)
+            for k, (ids, n, total, norms) in several.items():
+                # Mean squared distance of each row to each cluster that has rows.
+                reach = np.maximum(norm[:, None] - 2 * x @ (total / n[:, None]).T + norms / n, 0.0)
+                place = np.searchsorted(ids, _nearest(x, points[k]))
+                each = np.arange(len(x))
+                size = n[place]
+                a = reach[each, place] * np.divide(size, size - 1, out=np.zeros(len(x)), where=size > 1)
+                reach[each, place] = np.inf
+                b = reach.min(axis=1)
+                larger = np.maximum(a, b)
+                score = np.divide(b - a, larger, out=np.zeros(len(x)), where=(larger > 0) & (size > 1))
+                totals[k] += float((score * w).sum())
+        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array(list(totals.values()), pa.float64())], ["k", "score"])
+
     scores: dict[int, float] = {}
     if several:
-        own = rows.select(
-            _FEATURES,
-            *weights,
-            *[nearest_center(features, models[k])["cluster_id"].alias(f"own_{k}") for k in several],
-        )
-        means = own.where(F.col(f"own_{several[0]}").isNotNull()).agg(
-            *[_mean(_row_silhouette(features, F.col(f"own_{k}"), sums[k]), weight).alias(str(k)) for k in several]
-        )
-        scores = {int(k): v for k, v in means.first().asDict().items()}
+        parts = rows.mapInArrow(scored, "k int, score double").groupBy("k").agg(F.sum("score").alias("score"))
+        scores = {r["k"]: r["score"] / float(several[r["k"]][1].sum()) for r in parts.collect()}
     return [(k, cost_from_sums(sums[k], centers), scores.get(k)) for k, centers in models.items()]
 
 

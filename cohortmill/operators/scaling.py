@@ -13,7 +13,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortmill.functions.geometry import is_usable
+from cohortmill.functions.geometry import all_usable, doubles
 
 
 @dataclass(frozen=True)
@@ -57,9 +57,9 @@ def fit_standardizer(df: DataFrame, columns: Sequence[str], weight: str | None =
     ``weight`` w counts as w equal rows; one without a positive weight is left out.
     Brings one number pair per column to the driver, as any scaler fit does.
     """
-    features = F.array(*[F.col(c).cast("double") for c in columns])
+    features = F.array(*doubles(columns))
     w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
-    usable = df.where(is_usable(features)).select(array_to_vector(features).alias("v"), w.alias("w")).where("w > 0")
+    usable = df.where(all_usable(columns)).select(array_to_vector(features).alias("v"), w.alias("w")).where("w > 0")
     # A grouped aggregate has no row where there is nothing to summarise.
     found = usable.groupBy(F.lit(1)).agg(
         F.sum("w").alias("n"),
