@@ -18,12 +18,13 @@ from cohortmill.functions.geometry import all_usable, dot, doubles, nearest_cent
 
 
 def assign(scaled: DataFrame, scaled_columns: Sequence[str], centers) -> DataFrame:
-    """Adds ``cluster_id`` and the squared distance ``d2`` to the nearest center, NULL for unusable rows."""
-    return (
-        scaled.withColumn("nearest", nearest_center(scaled_columns, centers))
-        .withColumns({"cluster_id": F.col("nearest.cluster_id"), "d2": F.col("nearest.d2")})
-        .drop("nearest")
-    )
+    """Adds ``cluster_id`` and the squared distance ``d2`` to the nearest center, NULL for unusable rows.
+
+    The generator keeps the measurement in one place; as two columns it would be made twice.
+    """
+    rows = scaled.drop("cluster_id", "d2")
+    found = rows.select("*", F.inline(F.array(nearest_center(scaled_columns, centers))))
+    return found.select(*[F.col(f"`{c}`") for c in rows.columns], "cluster_id", "d2")
 
 
 def _weighed(rows: DataFrame, weight: str | None) -> DataFrame:
