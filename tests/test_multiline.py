@@ -11,7 +11,7 @@ from cohortmill.sources.multiline import read_multiline_csv, split_parities, _li
 from cohortmill.sources.tables import read_csv_by_header
 
 
-@pytest.fixture(params=[7, 64, 1000, 1 << 27])
+@pytest.fixture(params=[16, 1000])
 def split_bytes(spark, request):
     names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
     before = [spark.conf.get(n) for n in names]
@@ -71,8 +71,7 @@ def test_one_file_is_read_by_many_tasks(spark, split_bytes):
     out = same(spark, folder)
     lines = _lines(spark, folder)
     size = os.path.getsize(os.path.join(folder, "t.csv"))
-    if split_bytes in (64, 1000):
-        splits = split_parities(lines).collect()
-        assert len(splits) >= size / split_bytes / 2 and lines.rdd.getNumPartitions() >= len(splits)
-        assert {r.inside for r in splits} == {True, False}
+    splits = split_parities(lines).collect()
+    assert len(splits) >= size / max(split_bytes, 60) / 2 and lines.rdd.getNumPartitions() >= len(splits)
+    assert {r.inside for r in splits} == {True, False}
     assert out.where("text LIKE 'line one%two of %'").count() == 200
