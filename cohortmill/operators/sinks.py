@@ -36,18 +36,30 @@ MANIFEST_SCHEMA = T.StructType(
 )
 
 
-def _observed(df: DataFrame, single_file: bool) -> tuple[DataFrame, Observation]:
+#: Text of one file where a table is written to as few files as may be.  One task writes a file.
+FILE_BYTES = 256 << 20
+
+
+def few_files(df: DataFrame) -> int:
+    """How many files of about ``FILE_BYTES`` hold the table as text; one pass sums up the lengths."""
+    lengths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
+    total = df.agg(F.sum(sum(lengths, F.lit(0).cast("bigint")))).first()[0]
+    return max(1, -(-(total or 0) // FILE_BYTES))
+
+
+def _observed(df: DataFrame, files: int | None) -> tuple[DataFrame, Observation]:
     seen = Observation(f"written-{uuid.uuid4().hex}")
-    out = df.coalesce(1) if single_file else df
+    out = df if files is None else df.coalesce(files)
     return out.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> int:
+def write_csv(df: DataFrame, path: str, single_file: bool = False, files: int | None = None) -> int:
     """CSV with a header; quotes are doubled, and line breaks and spaces are kept.  Returns the rows.
 
-    ``single_file`` is for tables with one row per cluster or per K.
+    ``single_file`` is for tables with one row per cluster or per K; others that want few files
+    give ``files``, which ``few_files`` counts.
     """
-    out, seen = _observed(df, single_file)
+    out, seen = _observed(df, 1 if single_file else files)
     (
         out.write.mode("overwrite")
         .option("header", True)
@@ -61,14 +73,14 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> int:
 
 def write_parquet(df: DataFrame, path: str) -> int:
     """Parquet; returns the rows."""
-    out, seen = _observed(df, False)
+    out, seen = _observed(df, None)
     out.write.mode("overwrite").parquet(path)
     return seen.get["rows"]
 
 
 def write_json_lines(df: DataFrame, path: str, single_file: bool = False) -> int:
     """One JSON object a line; returns the rows."""
-    out, seen = _observed(df, single_file)
+    out, seen = _observed(df, 1 if single_file else None)
     out.write.mode("overwrite").json(path)
     return seen.get["rows"]
 

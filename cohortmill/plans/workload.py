@@ -194,13 +194,14 @@ def csv_text_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def csv_text_parallel(spark: SparkSession, folder: str) -> DataFrame:
-    """Texts with line breaks in one CSV file, read by as many tasks as it has splits."""
+    """Texts with line breaks in one CSV file, or in some of bounded size, read by as many tasks as they have splits."""
     path = scratch_path(spark, "one-csv")
     documents = read_table(spark, folder, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), "text")
     turns = read_table(spark, folder, "conversations").select(
         F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn").alias("id"), "text"
     )
-    sinks.write_csv(documents.unionByName(turns), path, single_file=True)
+    texts = documents.unionByName(turns)
+    sinks.write_csv(texts, path, files=sinks.few_files(texts))
     return read_multiline_csv(spark, path)
 
 

@@ -6,7 +6,9 @@ import tempfile
 
 import pytest
 
+from cohortmill.operators import sinks
 from cohortmill.operators.sinks import write_csv
+from cohortmill.plans import workload
 from cohortmill.sources.multiline import read_multiline_csv, split_parities, _lines
 from cohortmill.sources.tables import read_csv_by_header
 
@@ -75,3 +77,29 @@ def test_one_file_is_read_by_many_tasks(spark, split_bytes):
     assert len(splits) >= size / max(split_bytes, 60) / 2 and lines.rdd.getNumPartitions() >= len(splits)
     assert {r.inside for r in splits} == {True, False}
     assert out.where("text LIKE 'line one%two of %'").count() == 200
+
+
+def test_no_task_writes_all_texts(spark, folder, monkeypatch):
+    """The CSV files of the query grow in number, not in size."""
+    given, written = tempfile.mkdtemp(), []
+    for name in ("documents", "conversations"):
+        spark.read.parquet(f"{folder}/{name}.parquet").repartition(8).write.parquet(f"{given}/{name}.parquet")
+
+    def write(df, path, **more):
+        written.append(path)
+        return write_csv(df, path, **more)
+
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    monkeypatch.setattr(workload.sinks, "write_csv", write)
+    monkeypatch.setattr(sinks, "FILE_BYTES", 100_000, raising=False)
+    try:
+        for name, value in zip(names, ("20000", "1")):
+            spark.conf.set(name, value)
+        out = rows(workload.csv_text_parallel(spark, given))
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+    assert out == rows(workload.csv_text_roundtrip(spark, given))
+    sizes = [os.path.getsize(f) for f in spark.read.text(written[0]).inputFiles() for f in [f.removeprefix("file:")]]
+    assert sum(sizes) > 300_000 and max(sizes) < 250_000 and len(sizes) <= sum(sizes) / 100_000 + 1
