@@ -49,7 +49,10 @@ def replicate_means(
     each = clustered.where(F.col("cluster_id").isNotNull()).select(
         "cluster_id", key, *features, F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate")
     )
-    weighed = each.withColumn("_w", poisson_weight(uniform(F.col(key), F.col("replicate"), F.lit(seed)))).where("_w > 0")
+    # The generator keeps the digest a column: else each comparison of the weight, and each sum, computes it again.
+    drawn = each.withColumn("_u", uniform(F.col(key), F.col("replicate"), F.lit(seed)))
+    drawn = drawn.select("cluster_id", "replicate", *features, F.explode(F.array("_u")).alias("_u"))
+    weighed = drawn.withColumn("_w", poisson_weight(F.col("_u"))).where("_w > 0")
     sums = weighed.groupBy("cluster_id", "replicate").agg(
         *[(F.sum(F.col(f) * F.col("_w")) / F.sum(F.when(F.col(f).isNotNull(), F.col("_w")))).alias(f) for f in features]
     )
