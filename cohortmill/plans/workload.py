@@ -844,12 +844,21 @@ def score_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(CLUSTERED_SCHEMA).parquet(scored)
 
 
+TRIGGERS, FILE_EVENTS = 4, 500_000
+
+
 def streamed_lines(spark: SparkSession, folder: str, time: str | None, each=None) -> str:
-    """The order lines as four files of events, taken one file a trigger; where the states are."""
+    """The order lines as files of events, taken a quarter of them a trigger; where the states are.
+
+    There are four files, or more where one would hold more than ``FILE_EVENTS``: a file of few bytes is read by
+    one task, which sorts its events for the names.
+    """
     incoming, path = scratch_path(spark, "incoming-events"), scratch_path(spark, "states")
     events = bindings.line_events(spark, folder, time="happened")
-    events.repartitionByRange(4, "happened").write.parquet(incoming)
-    stream = read_event_stream(spark, incoming, events.schema, files_per_trigger=1)
+    files = max(1, -(-events.count() // (TRIGGERS * FILE_EVENTS)))
+    # Events of one time may go to several files.
+    events.repartitionByRange(TRIGGERS * files, "happened", "app_id").write.parquet(incoming)
+    stream = read_event_stream(spark, incoming, events.schema, files_per_trigger=files)
     # No event is late here, whatever the order in which the files are taken.
     states = running_states(stream, LINES, time, window="365 days", delay="7300 days")
     then = None if each is None else each(path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortmill.operators import cleaning, entities
 from cohortmill.operators.scoring import make_model
+from cohortmill.plans import workload
 from cohortmill.plans.segmentation import Settings, entity_feature_table
 from cohortmill.storage import scratch_path
 from cohortmill.streaming import entities as streamed
@@ -123,3 +124,21 @@ def test_changed_entities_are_scored(spark, place):
 def test_nothing_written_yet(spark, place):
     with pytest.raises(ValueError, match="nothing was written"):
         streamed.current_states(spark, place["states"])
+
+
+def test_event_files_grow_in_number_and_not_in_size(spark, folder, monkeypatch):
+    """Each of the four triggers takes several files, and none holds a quarter of the events."""
+    read, seen = streamed.read_event_stream, {}
+
+    def noted(spark, path, schema, files_per_trigger):
+        seen.update(path=path, files=files_per_trigger)
+        return read(spark, path, schema, files_per_trigger)
+
+    monkeypatch.setattr(workload, "read_event_stream", noted)
+    monkeypatch.setattr(workload, "FILE_EVENTS", 200, raising=False)
+    path = workload.streamed_lines(spark, folder, "happened")
+    per_file = spark.read.parquet(seen["path"]).groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in per_file) < 600 and len(per_file) <= 4 * seen["files"]
+    assert streamed.last_trigger(spark, path) == 3
+    got = streamed.state_features(streamed.current_states(spark, path), workload.bindings.part_metadata(spark, folder), workload.LINES)
+    assert rows(got) == rows(workload.line_features(spark, folder))
