@@ -142,3 +142,24 @@ def test_event_files_grow_in_number_and_not_in_size(spark, folder, monkeypatch):
     assert streamed.last_trigger(spark, path) == 3
     got = streamed.state_features(streamed.current_states(spark, path), workload.bindings.part_metadata(spark, folder), workload.LINES)
     assert rows(got) == rows(workload.line_features(spark, folder))
+
+
+def test_states_lie_in_rocksdb_unless_the_session_says_otherwise(spark, place):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    assert spark.conf.get(name, None) is None
+
+    def store():
+        return "".join(r.value for r in spark.read.text(f"{place['progress']}/offsets/0").collect())
+
+    land(spark, place, FILES[0], "f0")
+    run(spark, place, None)
+    assert "RocksDBStateStoreProvider" in store() and spark.conf.get(name, None) is None
+    given = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    place |= {k: scratch_path(spark, k) for k in ("states", "progress")}
+    spark.conf.set(name, given)
+    try:
+        run(spark, place, None)
+        assert given in store() and spark.conf.get(name) == given
+    finally:
+        spark.conf.unset(name)
+    assert rows(streamed.current_states(spark, place["states"])) == rows(batch(spark, place))
